@@ -83,11 +83,16 @@ def session_starts(
     the start of its session. Seeds must lie before every new event.
     """
     exprs, keys = encode_keys(df, [*by, user])
+    # Both branches below (per-second rows, per-bucket summary) read this one
+    # relation with the same predicates, so its shuffle is planned once and
+    # reused. Rows without a time get no start (they keep the bare user id).
     secs = (
-        df.where(F.col(time_col).isNotNull())
-        .select(*exprs, epoch_seconds(time_col).alias("_s"))
+        df.select(*exprs, epoch_seconds(time_col).alias("_s"))
+        .where(F.col("_s").isNotNull())
         .distinct()
-        .withColumn("_b", F.floor(F.col("_s") / F.lit(bucket_seconds)))
+        # not-null by construction, so joins on it infer no extra filter that
+        # would reach one branch's scan but not the other's
+        .withColumn("_b", F.coalesce(F.floor(F.col("_s") / F.lit(bucket_seconds)), F.lit(0).cast("long")))
     )
     w_local = Window.partitionBy(*keys, "_b").orderBy("_s")
     secs = secs.withColumn("_prev", F.lag("_s").over(w_local)).withColumn(
@@ -98,7 +103,7 @@ def session_starts(
         F.min("_s").alias("_first"),
         F.max("_s").alias("_last"),
         F.max(F.when(F.col("_brk"), F.col("_s"))).alias("_last_brk"),
-    ).withColumn("_seed_start", F.lit(None).cast("long"))
+    ).withColumn("_seed_start", F.lit(None).cast("long")).withColumn("_is_seed", F.lit(False))
     if seeds is not None:
         seed_exprs, _ = encode_keys(seeds, [*by, user])
         summary = summary.unionByName(
@@ -109,6 +114,7 @@ def session_starts(
                 F.col("last_s").cast("long").alias("_last"),
                 F.lit(None).cast("long").alias("_last_brk"),
                 F.col("start_s").cast("long").alias("_seed_start"),
+                F.lit(True).alias("_is_seed"),
             )
         )
     w_user = Window.partitionBy(*keys).orderBy("_first")
@@ -122,7 +128,7 @@ def session_starts(
             F.coalesce("_seed_start", "_last_brk", F.when(F.col("_first_new"), F.col("_first"))),
         )
         .withColumn("_carry", F.max("_start_max").over(w_user.rowsBetween(Window.unboundedPreceding, -1)))
-        .where(F.col("_b").isNotNull())
+        .where(~F.col("_is_seed"))  # a literal per union branch: folds away, nothing pushed down
         .select(*keys, "_b", "_first_new", "_carry")
     )
     joined = secs.join(summary, [*keys, "_b"])
@@ -141,14 +147,19 @@ def sessionize(
     time_col: str = "event_time_utc",
     bucket_seconds: int = DAY_SECONDS,
     seeds: DataFrame | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``session_id`` to every row (skew-safe two-level form).
 
     ``by``: extra keys that split independent runs (e.g. a run date).
     Rows with a NULL time keep a session id of just the user.
+    ``source``: optional rows with the same distinct ``(*by, user, second)``
+    set as ``df`` (e.g. the input before de-duplication) to compute the
+    session starts from; then ``df``'s own upstream runs only once.
     """
     df = df.drop("session_id")
-    starts = session_starts(df, gap_seconds, by, user, time_col, bucket_seconds, seeds)
+    src = df if source is None else source
+    starts = session_starts(src, gap_seconds, by, user, time_col, bucket_seconds, seeds)
     exprs, keys = encode_keys(df, [*by, user])
     ev = df.select("*", *exprs, epoch_seconds(time_col).alias("_s"))
     out = ev.join(starts, [*keys, "_s"], "left")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.timecols import with_local_time
+from cadence.functions.timecols import parse_utc, with_local_time
 from cadence.operators.dedup import dedup_events
 from cadence.operators.sessions import DAY_SECONDS, sessionize
 from cadence.schema import LOCAL_ZONE, SESSION_GAP_SECONDS
@@ -27,7 +27,11 @@ def transform(
     """
     deduped = dedup_events(raw, key=(*by, "user_id", "event_time", "event_type", "product_id"))
     timed = with_local_time(deduped, zone)
-    return sessionize(timed, gap_seconds, by=by, bucket_seconds=bucket_seconds, seeds=seeds)
+    # De-duplication keeps every (user, event_time) pair, so the session
+    # starts come from two pruned raw columns: the dedup shuffle has a single
+    # consumer and is never planned twice.
+    starts_src = raw.select(*by, "user_id", parse_utc("event_time").alias("event_time_utc"))
+    return sessionize(timed, gap_seconds, by=by, bucket_seconds=bucket_seconds, seeds=seeds, source=starts_src)
 
 
 def incremental_all_days(
