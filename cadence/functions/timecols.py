@@ -35,11 +35,9 @@ def with_local_time(
     df: DataFrame, zone: str = LOCAL_ZONE, src: str = "event_time", fmt: str = EVENT_TIME_FORMAT
 ) -> DataFrame:
     """Add ``event_time_utc``, ``event_time_kst`` and the local ``event_date`` text."""
-    return (
-        df.withColumn("event_time_utc", parse_utc(src, fmt))
-        .withColumn("event_time_kst", to_local_clock("event_time_utc", zone))
-        .withColumn("event_date", local_date_text("event_time_kst"))
-    )
+    utc = parse_utc(src, fmt)
+    kst = to_local_clock(utc, zone)
+    return df.withColumns({"event_time_utc": utc, "event_time_kst": kst, "event_date": local_date_text(kst)})
 
 
 def week_start(date_text: str | Column) -> Column:

@@ -95,15 +95,16 @@ def session_starts(
         .withColumn("_b", F.coalesce(F.floor(F.col("_s") / F.lit(bucket_seconds)), F.lit(0).cast("long")))
     )
     w_local = Window.partitionBy(*keys, "_b").orderBy("_s")
-    secs = secs.withColumn("_prev", F.lag("_s").over(w_local)).withColumn(
-        "_brk", (F.col("_s") - F.col("_prev")) >= F.lit(gap_seconds)
-    )
+    prev = F.lag("_s").over(w_local)
+    secs = secs.select("*", prev.alias("_prev"), ((F.col("_s") - prev) >= F.lit(gap_seconds)).alias("_brk"))
     # One row per (user, bucket): first/last second and the last internal break.
     summary = secs.groupBy(*keys, "_b").agg(
         F.min("_s").alias("_first"),
         F.max("_s").alias("_last"),
         F.max(F.when(F.col("_brk"), F.col("_s"))).alias("_last_brk"),
-    ).withColumn("_seed_start", F.lit(None).cast("long")).withColumn("_is_seed", F.lit(False))
+        F.lit(None).cast("long").alias("_seed_start"),
+        F.lit(False).alias("_is_seed"),
+    )
     if seeds is not None:
         seed_exprs, _ = encode_keys(seeds, [*by, user])
         summary = summary.unionByName(
@@ -119,17 +120,19 @@ def session_starts(
         )
     w_user = Window.partitionBy(*keys).orderBy("_first")
     prev_last = F.lag("_last").over(w_user)
+    first_new = prev_last.isNull() | ((F.col("_first") - prev_last) >= F.lit(gap_seconds))
+    start_max = F.coalesce("_seed_start", "_last_brk", F.when(first_new, F.col("_first")))
     summary = (
-        summary.withColumn(
-            "_first_new", prev_last.isNull() | ((F.col("_first") - prev_last) >= F.lit(gap_seconds))
-        )
-        .withColumn(
-            "_start_max",
-            F.coalesce("_seed_start", "_last_brk", F.when(F.col("_first_new"), F.col("_first"))),
+        summary.select("*", first_new.alias("_first_new"), start_max.alias("_start_max"))
+        .select(
+            *keys,
+            "_b",
+            "_first_new",
+            "_is_seed",
+            F.max("_start_max").over(w_user.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
         )
-        .withColumn("_carry", F.max("_start_max").over(w_user.rowsBetween(Window.unboundedPreceding, -1)))
         .where(~F.col("_is_seed"))  # a literal per union branch: folds away, nothing pushed down
-        .select(*keys, "_b", "_first_new", "_carry")
+        .drop("_is_seed")
     )
     joined = secs.join(summary, [*keys, "_b"])
     is_new = F.when(F.col("_prev").isNull(), F.col("_first_new")).otherwise(F.col("_brk"))

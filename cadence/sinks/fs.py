@@ -27,10 +27,11 @@ def mkdirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> None:
+def rename(spark: SparkSession, src: str, dst: str, make_parent: bool = True) -> None:
     fs, s = _path(spark, src)
     _, d = _path(spark, dst)
-    fs.mkdirs(d.getParent())
+    if make_parent:
+        fs.mkdirs(d.getParent())
     if not fs.rename(s, d):
         raise RuntimeError(f"rename failed: {src} -> {dst}")
 

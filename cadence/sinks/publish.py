@@ -96,12 +96,14 @@ def publish_silver(
         checks = gate(spark, staged, dates)
         if before_swap is not None:
             before_swap()
+        existing = set(fs.list_dirs(spark, base))  # one listing instead of a check per date
+        fs.mkdirs(spark, trash)
         for c in checks:
             name = f"event_date={c.event_date}"
             final = f"{base}/{name}"
-            if fs.exists(spark, final):
-                fs.rename(spark, final, f"{trash}/{name}")
-            fs.rename(spark, f"{staging}/{name}", final)
+            if name in existing:
+                fs.rename(spark, final, f"{trash}/{name}", make_parent=False)
+            fs.rename(spark, f"{staging}/{name}", final, make_parent=False)
             fs.touch(spark, f"{final}/{SUCCESS_MARKER}")
         return checks
     finally:
