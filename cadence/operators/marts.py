@@ -21,10 +21,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.functions.timecols import money_sum, month_of, safe_div, week_start
+from cadence.functions.timecols import month_of, safe_div, week_start
 from cadence.schema import MONEY_TYPE, STAGES
 
 
+def activity_grain(activity: DataFrame) -> DataFrame:
+    """One row per (event_date, event_type, user_id, session_id) with its
+    event count and exact revenue. Every mart below gives the same result on
+    this grain as on the events (distinct counts are unchanged, additive
+    measures are carried), so the gold job reads silver once."""
+    return activity.groupBy("event_date", "event_type", "user_id", "session_id").agg(
+        F.count(F.lit(1)).alias("events"), F.sum(F.col("price").cast(MONEY_TYPE)).alias("revenue")
+    )
+
+
+def _events(df: DataFrame) -> Column:
+    """Event count of a group: rows of silver, or summed counts of the grain."""
+    return F.coalesce(F.sum("events"), F.lit(0).cast("long")) if "events" in df.columns else F.count(F.lit(1))
+
+
+def _money(df: DataFrame) -> Column:
+    """Exact revenue of a group (DECIMAL cents)."""
+    return F.sum("revenue") if "revenue" in df.columns else F.sum(F.col("price").cast(MONEY_TYPE))
+
+
 def _users_and_sessions(activity: DataFrame, keys: dict[str, Column], users: str, sessions: str) -> DataFrame:
     names = list(keys)
     per_session = activity.select(*[c.alias(n) for n, c in keys.items()], "user_id", "session_id").distinct()
@@ -52,7 +72,7 @@ def _stage_flags(activity: DataFrame, key: Column, key_name: str, stages: Sequen
 def fact_daily_activity(activity: DataFrame) -> DataFrame:
     """Grain event_date x event_type: events, distinct users/sessions, sum(price)."""
     per_session = activity.groupBy("event_date", "event_type", "user_id", "session_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col("price").cast(MONEY_TYPE)).alias("_p")
+        _events(activity).alias("_n"), _money(activity).alias("_p")
     )
     per_user = per_session.groupBy("event_date", "event_type", "user_id").agg(
         F.sum("_n").alias("_n"), F.sum("_p").alias("_p"), F.count("session_id").alias("_ns")
@@ -201,7 +221,7 @@ def mart_revenue(activity: DataFrame, buy: str = "purchase") -> DataFrame:
     return (
         activity.where(F.col("event_type") == buy)
         .groupBy(week_start("event_date").alias("week_start"))
-        .agg(money_sum("price").alias("revenue"), F.count(F.lit(1)).alias("purchases"))
+        .agg(_money(activity).cast("double").alias("revenue"), _events(activity).alias("purchases"))
         .withColumn("aov", safe_div("revenue", "purchases"))
         .orderBy("week_start")
     )
@@ -212,7 +232,7 @@ def mart_arppu(activity: DataFrame, buy: str = "purchase") -> DataFrame:
     per_user = (
         activity.where(F.col("event_type") == buy)
         .groupBy(week_start("event_date").alias("week_start"), "user_id")
-        .agg(F.sum(F.col("price").cast(MONEY_TYPE)).alias("_rev"))
+        .agg(_money(activity).alias("_rev"))
     )
     return (
         per_user.groupBy("week_start")

@@ -16,7 +16,7 @@ from cadence.operators import marts as marts_mod
 from cadence.operators.quality import split_valid_invalid
 from cadence.plans.pipeline import transform
 from cadence.schema import LOCAL_ZONE, RAW_COLUMNS, SESSION_GAP_SECONDS
-from cadence.session import ensure_utc
+from cadence.session import ensure_utc, scratch_dir
 from cadence.sinks import publish
 from cadence.sources.files import day_paths, read_committed, read_events
 
@@ -133,14 +133,25 @@ def split_daily(spark: SparkSession, inputs: str | Iterable[str], output: str, z
     publish.split_daily(with_local_time(raw, zone).select(*RAW_COLUMNS, "event_date"), output)
 
 
+def stage_grain(spark: SparkSession, activity: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Write the mart grain to the shared scratch folder and read it back.
+
+    The written table cuts the lineage: every mart reads the (much smaller)
+    grain files, silver is scanned and shuffled once, and a lost executor
+    costs a re-read of files, not a re-run of the silver scan."""
+    path = f"{scratch_dir(spark).rstrip('/')}/grain-{run_id or uuid.uuid4().hex}"
+    marts_mod.activity_grain(activity).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def build_marts(
     spark: SparkSession, silver_root: str, output: str, names: Sequence[str] | None = None
 ) -> dict[str, int]:
     """Gold marts from committed silver dates only; returns rows per mart."""
-    activity = read_committed(spark, silver_root)
+    grain = stage_grain(spark, read_committed(spark, silver_root))
     out = {}
     for name in names or list(marts_mod.MARTS):
-        out[name] = publish.write_mart(spark, marts_mod.MARTS[name](activity), output, name)
+        out[name] = publish.write_mart(spark, marts_mod.MARTS[name](grain), output, name)
     return out
 
 
