@@ -76,3 +76,35 @@ def read_committed(spark: SparkSession, root: str, dates: Iterable[str] | None =
         return spark.createDataFrame([], ACTIVITY)
     paths = [f"{root}/event_date={d}" for d in ready]
     return spark.read.schema(ACTIVITY).option("basePath", root).parquet(*paths)
+
+
+def read_and_transform(
+    spark: SparkSession, paths: str | Iterable[str], zone: str | None = None, gap_seconds: int | None = None
+) -> DataFrame:
+    """Raw CSV paths straight to silver rows (no publication)."""
+    from cadence.plans.pipeline import transform
+
+    kwargs = {k: v for k, v in (("zone", zone), ("gap_seconds", gap_seconds)) if v is not None}
+    return transform(read_events(spark, paths), **kwargs)
+
+
+def read_sample(spark: SparkSession, paths: str | Iterable[str], rows: int) -> DataFrame:
+    """The first ``rows`` data lines of the input: a quick end-to-end sample.
+    (A sampling operator: the limit is its purpose.)"""
+    return read_events(spark, paths).limit(rows)
+
+
+def sql_marts(
+    spark: SparkSession, sql_dir: str, activity: DataFrame, names: Iterable[str], view: str = "activity"
+) -> dict[str, DataFrame]:
+    """Marts written as SQL files: ``<sql_dir>/<name>.sql`` run over ``activity``.
+
+    The file text (a few hundred bytes) is read through Spark, so any file
+    system works; the query itself is planned by Catalyst like the DataFrame
+    marts."""
+    activity.createOrReplaceTempView(view)
+    out = {}
+    for name in names:
+        text = "\n".join(r.value for r in spark.read.text(f"{sql_dir}/{name}.sql").collect())
+        out[name] = spark.sql(text.strip().rstrip(";"))
+    return out

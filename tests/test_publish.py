@@ -143,3 +143,19 @@ def test_build_marts_reads_committed_only(spark, tmp_dir):
     counts = jobs.build_marts(spark, base, f"{tmp_dir}/gold", ["mart_dau", "dim_date"])
     assert counts == {"mart_dau": 1, "dim_date": 1}
     assert spark.table("gold_mart_dau").count() == 1
+
+
+def test_sources_read_and_transform_sample_and_sql_marts(spark, tmp_dir):
+    from cadence.sources.files import read_and_transform, read_sample, sql_marts
+
+    rows = [ev("2019-10-07 00:00:00"), ev("2019-10-07 00:01:00", user=2), ev("2019-10-14 00:00:00", user=2)]
+    src = _write_csv(spark, rows, f"{tmp_dir}/raw")
+    silver = read_and_transform(spark, src)
+    assert silver.count() == 3 and "session_id" in silver.columns
+    assert read_sample(spark, src, 2).count() == 2
+    os.makedirs(f"{tmp_dir}/sql")
+    with open(f"{tmp_dir}/sql/weekly.sql", "w") as f:
+        f.write("SELECT date_trunc('week', to_date(event_date)) AS week_start,\n"
+                "       count(DISTINCT user_id) AS wau_users\nFROM activity GROUP BY 1 ORDER BY 1;\n")
+    (weekly,) = sql_marts(spark, f"{tmp_dir}/sql", silver, ["weekly"]).values()
+    assert [r.wau_users for r in weekly.collect()] == [2, 1]
