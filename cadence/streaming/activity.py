@@ -4,6 +4,8 @@
   first *arrived* row, not the lowest price (batch :func:`dedup_events` does).
 * :func:`stream_sessions` - one row per session from ``session_window``
   (same sessions as the batch rule when nothing is later than the watermark).
+* :func:`stream_session_starts` - ``(user, second) -> session start`` with
+  per-user state bounded by the watermark delay in seconds (skew-safe).
 * :func:`stream_session_ids` - every event with its batch-identical session
   id, from a per-user state that holds events until the watermark passes
   them (no event can then arrive before them, so the order is final).
@@ -140,9 +142,11 @@ def stream_session_ids(
 ) -> DataFrame:
     """Every event (not later than the watermark) with its session id.
 
-    State per user: last event second and session start, plus the events
-    not yet below the watermark (bounded by the delay). The JVM packs each
-    row as JSON text; Python only orders longs and carries strings."""
+    State per user: last event second and session start, plus the user's
+    events not yet below the watermark, i.e. (event rate x delay) rows for
+    one key. The JVM packs each row as JSON text; Python only orders longs
+    and carries strings. For users with very high event rates use
+    :func:`stream_session_starts` (state bounded by the delay in seconds)."""
     timed = with_local_time(stream, zone).where(F.col("event_time_utc").isNotNull())
     payload = [c for c in timed.columns if c != "user_id"]
     schema = T.StructType([f for f in timed.schema.fields if f.name in payload])
@@ -163,6 +167,81 @@ def stream_session_ids(
     )
 
 
+_SEC_STATE = T.StructType(
+    [
+        T.StructField("last_s", T.LongType()),
+        T.StructField("start_s", T.LongType()),
+        T.StructField("pending", T.ArrayType(T.LongType())),
+    ]
+)
+_SEC_OUT = T.StructType(
+    [
+        T.StructField("user_id", T.LongType()),
+        T.StructField("second", T.LongType()),
+        T.StructField("session_start", T.LongType()),
+    ]
+)
+
+
+def _assign_starts(gap_seconds: int):
+    """Per-user state over distinct seconds only: at most ``delay`` seconds
+    are pending per user, however many events the user sends."""
+
+    def fn(key: tuple[Any, ...], pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        (user,) = key
+        last_s = start_s = None
+        pending: set[int] = set()
+        if state.exists:
+            last_s, start_s, p = state.get
+            pending = set(p)
+        for pdf in pdfs:
+            pending.update(int(x) for x in pdf["_s"])
+        wm_s = state.getCurrentWatermarkMs() // 1000
+        out_s, out_start, keep = [], [], []
+        for s in sorted(pending):
+            if s >= wm_s:  # a later event of this very second may still arrive
+                keep.append(s)
+                continue
+            if last_s is None or s - last_s >= gap_seconds:
+                start_s = s
+            last_s = s if last_s is None else max(last_s, s)
+            out_s.append(s)
+            out_start.append(start_s)
+        if keep:
+            state.update((last_s, start_s, keep))
+            state.setTimeoutTimestamp(max((keep[0] + 1) * 1000, state.getCurrentWatermarkMs() + 1))
+        elif last_s is not None and wm_s < last_s + gap_seconds:
+            state.update((last_s, start_s, []))
+            state.setTimeoutTimestamp((last_s + gap_seconds) * 1000)
+        else:
+            state.remove()
+        if out_s:
+            yield pd.DataFrame({"user_id": [user] * len(out_s), "second": out_s, "session_start": out_start})
+
+    return fn
+
+
+def stream_session_starts(
+    stream: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS, delay: str = "10 minutes", zone: str = LOCAL_ZONE
+) -> DataFrame:
+    """``(user_id, second, session_start, session_id)`` for every active second.
+
+    The skew-safe streaming form: the state per user is its last second, the
+    session start and the distinct seconds not yet below the watermark
+    (bounded by the delay, not by the user's event rate). Events get their
+    id by an equi-join on ``(user_id, second)`` where they are batched, e.g.
+    in ``foreachBatch``; :func:`publish_stream` does the equivalent with the
+    batch sessionizer."""
+    timed = with_local_time(stream, zone).where(F.col("event_time_utc").isNotNull())
+    secs = timed.withWatermark("event_time_utc", delay).select(
+        "user_id", F.unix_timestamp("event_time_utc").alias("_s"), "event_time_utc"
+    )
+    out = secs.groupBy("user_id").applyInPandasWithState(
+        _assign_starts(gap_seconds), _SEC_OUT, _SEC_STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return out.withColumn("session_id", session_id_col(F.col("user_id"), F.col("session_start")))
+
+
 def stream_daily_fact(
     stream: DataFrame, delay: str = "1 hour", zone: str = LOCAL_ZONE, rsd: float = 0.01
 ) -> DataFrame:

@@ -18,6 +18,7 @@ from cadence.streaming.activity import (
     stream_daily_fact,
     stream_dedup,
     stream_session_ids,
+    stream_session_starts,
     stream_sessions,
 )
 from tests.conftest import ev, raw_rows
@@ -109,3 +110,14 @@ def test_publish_stream_equals_backfill(spark, tmp_dir):
     published = read_committed(spark, f"{tmp_dir}/silver")
     backfill = transform(raw_rows(spark, rows)).select(*published.columns)
     assert published.exceptAll(backfill).count() == 0 and backfill.exceptAll(published).count() == 0
+
+
+def test_stream_session_starts_equal_batch(spark, tmp_dir):
+    rows = _rows()
+    out = _drain(stream_session_starts(_flushed(spark, tmp_dir, rows)), tmp_dir)
+    batch = sessionize(with_local_time(raw_rows(spark, rows))).select(
+        "user_id", F.unix_timestamp("event_time_utc").alias("second"), "session_id"
+    ).distinct()
+    want = {(r.user_id, r.second): r.session_id for r in batch.collect()}
+    got = {(r.user_id, r.second): r.session_id for r in out.where("user_id <> 99").collect()}
+    assert got == want
