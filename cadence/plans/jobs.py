@@ -17,7 +17,7 @@ from cadence.operators.quality import split_valid_invalid
 from cadence.plans.pipeline import transform
 from cadence.schema import LOCAL_ZONE, RAW_COLUMNS, SESSION_GAP_SECONDS
 from cadence.session import ensure_utc, scratch_dir
-from cadence.sinks import publish
+from cadence.sinks import fs, publish
 from cadence.sources.files import day_paths, read_committed, read_events
 
 
@@ -148,11 +148,15 @@ def build_marts(
     spark: SparkSession, silver_root: str, output: str, names: Sequence[str] | None = None
 ) -> dict[str, int]:
     """Gold marts from committed silver dates only; returns rows per mart."""
-    grain = stage_grain(spark, read_committed(spark, silver_root))
-    out = {}
-    for name in names or list(marts_mod.MARTS):
-        out[name] = publish.write_mart(spark, marts_mod.MARTS[name](grain), output, name)
-    return out
+    run_id = uuid.uuid4().hex
+    grain = stage_grain(spark, read_committed(spark, silver_root), run_id)
+    try:
+        out = {}
+        for name in names or list(marts_mod.MARTS):
+            out[name] = publish.write_mart(spark, marts_mod.MARTS[name](grain), output, name)
+        return out
+    finally:
+        fs.delete(spark, f"{scratch_dir(spark).rstrip('/')}/grain-{run_id}")
 
 
 def wau_report(spark: SparkSession, silver_root: str) -> tuple[DataFrame, DataFrame]:

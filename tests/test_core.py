@@ -196,3 +196,35 @@ def test_transform_pipeline(spark):
     assert {"session_id", "event_date", "user_session", "event_time_utc", "event_time_kst"} <= set(out.columns)
     summ = session_summary(out).orderBy("session_start").collect()
     assert [(r.events, r.duration_seconds, r.dates_touched) for r in summ] == [(2, 180, 1), (1, 0, 1)]
+
+
+def _random_events(spark, seed=11, users=5, n=80):
+    rnd = random.Random(seed)
+    rows = []
+    for u in range(users):
+        t = 1569888000 + rnd.randint(0, 3000)
+        for i in range(n):
+            t += rnd.choice([0, 0, 1, 120, 299, 300, 600, 7200])
+            rows.append((u, t, rnd.choice(["view", "cart", "purchase"]), i))
+    return rows
+
+
+def test_sessionize_properties(spark):
+    rows = _random_events(spark)
+    schema = "user_id long, s long, event_type string, product_id long"
+
+    def frame(rs, parts):
+        return spark.createDataFrame(rs, schema).repartition(parts).select(
+            "user_id", F.timestamp_seconds("s").alias("event_time_utc"), "event_type", "product_id"
+        )
+
+    base = sessionize(frame(rows, 3))
+    shuffled = list(rows)
+    random.Random(5).shuffle(shuffled)
+    perm = sessionize(frame(shuffled, 7))
+    assert base.exceptAll(perm).count() == 0 and perm.exceptAll(base).count() == 0  # order-free
+    again = sessionize(base)
+    assert again.exceptAll(base).count() == 0 and base.exceptAll(again).count() == 0  # idempotent
+    one = sessionize(frame(rows, 3).where("user_id = 2"))
+    sub = base.where("user_id = 2")
+    assert one.exceptAll(sub).count() == 0 and sub.exceptAll(one).count() == 0  # commutes with a user filter

@@ -121,3 +121,19 @@ def test_stream_session_starts_equal_batch(spark, tmp_dir):
     want = {(r.user_id, r.second): r.session_id for r in batch.collect()}
     got = {(r.user_id, r.second): r.session_id for r in out.where("user_id <> 99").collect()}
     assert got == want
+
+
+def test_publish_stream_late_event_republishes_next_date(spark, tmp_dir):
+    # chain every 4 minutes over local midnight (15:00 UTC); the 14:56 event arrives late
+    times = [dt.datetime(2019, 10, 1, 14, 40) + dt.timedelta(minutes=4 * k) for k in range(10)]
+    rows = [ev(t.strftime("%Y-%m-%d %H:%M:%S"), user=7, product=k) for k, t in enumerate(times)]
+    late = [r for r in rows if r["event_time"].startswith("2019-10-01 14:56")]
+    early = [r for r in rows if r not in late]
+    _write(spark, early, f"{tmp_dir}/in/a")
+    _write(spark, late, f"{tmp_dir}/in/b")
+    stream = read_event_stream(spark, f"{tmp_dir}/in/*", max_files_per_trigger=1)
+    publish_stream(stream, f"{tmp_dir}/landing", f"{tmp_dir}/silver", f"{tmp_dir}/ckpt").awaitTermination()
+    published = read_committed(spark, f"{tmp_dir}/silver")
+    backfill = transform(raw_rows(spark, rows)).select(*published.columns)
+    assert published.exceptAll(backfill).count() == 0 and backfill.exceptAll(published).count() == 0
+    assert published.select("session_id").distinct().count() == 1
