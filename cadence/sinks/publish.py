@@ -17,6 +17,7 @@ recompute the transform (no in-memory cache to lose with an executor).
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
@@ -98,13 +99,19 @@ def publish_silver(
             before_swap()
         existing = set(fs.list_dirs(spark, base))  # one listing instead of a check per date
         fs.mkdirs(spark, trash)
-        for c in checks:
+
+        def swap(c: DateCheck) -> None:
             name = f"event_date={c.event_date}"
             final = f"{base}/{name}"
             if name in existing:
                 fs.rename(spark, final, f"{trash}/{name}", make_parent=False)
             fs.rename(spark, f"{staging}/{name}", final, make_parent=False)
-            fs.touch(spark, f"{final}/{SUCCESS_MARKER}")
+            fs.touch(spark, f"{final}/{SUCCESS_MARKER}")  # last: the date is ready
+
+        # Dates are independent: swap them concurrently (a rename is a copy on
+        # object stores, so a serial loop over many dates would dominate).
+        with ThreadPoolExecutor(max_workers=min(16, max(1, len(checks)))) as pool:
+            list(pool.map(swap, checks))
         return checks
     finally:
         fs.delete(spark, staging)
