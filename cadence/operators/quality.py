@@ -66,18 +66,22 @@ def multiset_diff(left: DataFrame, right: DataFrame, by: str = "event_date") ->
     ).orderBy(by)
 
 
-def split_valid_invalid(raw: DataFrame, time_col: str = "event_time") -> tuple[DataFrame, DataFrame]:
-    """Rows that can be published vs quarantined rows with a ``reason``.
+def split_valid_invalid(
+    raw: DataFrame, time_col: str = "event_time", quarantine_null_keys: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Rows to transform vs quarantined rows with a ``reason``.
 
     Malformed time text is quarantined instead of failing the job (the parse
-    is ``try_to_timestamp``); NULL time and NULL user are reasons too.
+    is ``try_to_timestamp``). Rows with a NULL time or user stay in by
+    default, so the gate fails their date (``null key rows=N``); with
+    ``quarantine_null_keys`` they are quarantined too.
     """
     parsed = parse_utc(time_col)
-    reason = (
-        F.when(F.col(time_col).isNull(), F.lit("null event_time"))
-        .when(parsed.isNull(), F.lit("unparseable event_time"))
-        .when(F.col("user_id").isNull(), F.lit("null user_id"))
-    )
+    reason = F.when(F.col(time_col).isNotNull() & parsed.isNull(), F.lit("unparseable event_time"))
+    if quarantine_null_keys:
+        reason = reason.when(F.col(time_col).isNull(), F.lit("null event_time")).when(
+            F.col("user_id").isNull(), F.lit("null user_id")
+        )
     tagged = raw.withColumn("_reason", reason)
     valid = tagged.where(F.col("_reason").isNull()).drop("_reason")
     invalid = tagged.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")

@@ -55,14 +55,16 @@ def run_backfill(
     zone: str = LOCAL_ZONE,
     gap_seconds: int = SESSION_GAP_SECONDS,
     quarantine_path: str | None = None,
+    quarantine_null_keys: bool = False,
 ) -> RunReport:
     """Whole input range -> every date published (gate before any swap).
 
-    Rows with a malformed or missing time or user go to ``quarantine_path``
-    (with a reason) instead of failing the job or reaching the gate."""
+    Rows with malformed time text go to ``quarantine_path`` (with a reason)
+    instead of failing the job. Rows with a NULL user or time fail the gate
+    of their date - nothing is published - unless ``quarantine_null_keys``."""
     ensure_utc(spark)
     raw = read_events(spark, inputs)
-    valid, invalid = split_valid_invalid(raw)
+    valid, invalid = split_valid_invalid(raw, quarantine_null_keys=quarantine_null_keys)
     qrows = 0
     if quarantine_path:
         invalid.write.mode("overwrite").parquet(quarantine_path)
@@ -102,6 +104,7 @@ def run_incremental(
     seed: bool = True,
     zone: str = LOCAL_ZONE,
     gap_seconds: int = SESSION_GAP_SECONDS,
+    quarantine_null_keys: bool = False,
 ) -> RunReport:
     """Publish one local date from the bronze day folders.
 
@@ -118,7 +121,7 @@ def run_incremental(
     if not paths or not paths[-1].endswith(f"event_date={run_date}"):
         raise FileNotFoundError(f"no day folder for {run_date} under {day_root}")
     raw = read_events(spark, paths)
-    valid, _ = split_valid_invalid(raw)
+    valid, _ = split_valid_invalid(raw, quarantine_null_keys=quarantine_null_keys)
     seeds = seeds_from_published(spark, output, run_date, gap_seconds) if seed else None
     obs_in, obs_out = Observation("input"), Observation("output")
     silver = transform(valid.observe(obs_in, F.count(F.lit(1)).alias("rows")), zone, gap_seconds, seeds=seeds)

@@ -275,6 +275,7 @@ def publish_stream(
     replayed epoch lands the same files once). Every date touched by the
     batch - and each later date already published, whose seeds may change -
     is recomputed from all its landed rows and re-published in date order.
+    Rows whose time cannot be read have no date and are not landed.
     """
     from cadence.plans.pipeline import transform
     from cadence.plans.jobs import seeds_from_published

@@ -36,6 +36,8 @@ def test_local_date_crosses_midnight(spark):
 def test_malformed_time_is_quarantined_not_fatal(spark):
     df = raw_rows(spark, [ev("garbage"), ev(None), ev("2019-10-01 00:00:00", user=None), ev("2019-10-01 00:00:00")])
     valid, invalid = split_valid_invalid(df)
+    assert valid.count() == 3 and [r.reason for r in invalid.collect()] == ["unparseable event_time"]
+    valid, invalid = split_valid_invalid(df, quarantine_null_keys=True)
     assert valid.count() == 1
     reasons = sorted(r.reason for r in invalid.collect())
     assert reasons == ["null event_time", "null user_id", "unparseable event_time"]
