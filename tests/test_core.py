@@ -230,3 +230,52 @@ def test_sessionize_properties(spark):
     one = sessionize(frame(rows, 3).where("user_id = 2"))
     sub = base.where("user_id = 2")
     assert one.exceptAll(sub).count() == 0 and sub.exceptAll(one).count() == 0  # commutes with a user filter
+
+
+def _brute_force_ids(events, gap):
+    """Pure-Python gap rule: per (run, user), ordered by second; new session at gap >= ``gap``."""
+    by_key = {}
+    for run, user, s in events:
+        by_key.setdefault((run, user), []).append(s)
+    ids = {}
+    for (run, user), secs in by_key.items():
+        start = last = None
+        for s in sorted(secs):
+            if last is None or s - last >= gap:
+                start = s
+            last = s
+            ids[(run, user, s)] = f"{user}_{start}"
+    return ids
+
+
+def test_sessionize_against_brute_force_many_datasets(spark):
+    rnd = random.Random(2024)
+    events = []
+    for run in range(300):
+        for user in range(rnd.randint(1, 3)):
+            t = 1569888000 + rnd.randint(0, 86400)
+            for _ in range(rnd.randint(1, 12)):
+                t += rnd.choice([0, 1, 150, 299, 300, 301, 3599, 86399, 86400, 200000])
+                events.append((run, user, t))
+    df = spark.createDataFrame(events, "run long, user_id long, s long").select(
+        "run", "user_id", F.timestamp_seconds("s").alias("event_time_utc"), "s"
+    )
+    for gap, bucket in ((300, 86400), (300, 600), (3600, 86400)):
+        out = sessionize(df, gap, by=("run",), bucket_seconds=bucket).collect()
+        got = {(r.run, r.user_id, r.s): r.session_id for r in out}
+        assert got == _brute_force_ids(events, gap), (gap, bucket)
+
+
+def test_hot_user_third_of_rows(spark):
+    # user 0 holds a third of all rows, spread over 20 days; others are light
+    hot = spark.range(0, 40000).select(
+        F.lit(0).cast("long").alias("user_id"), (F.lit(1569888000) + F.col("id") * 43 + (F.col("id") % 7) * 61).alias("s")
+    )
+    cold = spark.range(0, 80000).select(
+        (F.col("id") % 997 + 1).alias("user_id"), (F.lit(1569888000) + F.col("id") * 21).alias("s")
+    )
+    df = hot.unionByName(cold).select("user_id", F.timestamp_seconds("s").alias("event_time_utc"), F.lit("view").alias(
+        "event_type"), F.lit(1).cast("long").alias("product_id")).dropDuplicates()
+    a = sessionize(df, 300)
+    b = sessionize_window(df, 300)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
