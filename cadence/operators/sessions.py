@@ -5,18 +5,19 @@ session when it has no predecessor or the whole-second gap to its
 predecessor is >= ``gap_seconds``. The session id is
 ``"<user_id>_<epoch seconds of the session's first event>"``.
 
-Two implementations with identical output:
+Two implementations with identical output, combined by :func:`sessionize`
+(hot users take the first, all others the second):
 
-* :func:`sessionize` (default, skew-safe). Only whole seconds matter: every
+* :func:`sessionize_two_level` (skew-safe). Only whole seconds matter: every
   event after the first one of its second has gap 0 and continues the
   session. So the work runs on the *distinct* ``(user, second)`` pairs
   (a map-side-combined aggregate), split into sort groups of one user and one
   time bucket (at most ``bucket_seconds`` rows each, however hot the user).
   Buckets are stitched through a per-bucket summary of a few rows per user,
   and the session start is joined back to the events on ``(user, second)``.
-* :func:`sessionize_window` - the one-window-per-user formulation. Simple,
-  but a user holding a third of all rows becomes one sort task. Kept as the
-  brute-force reference in tests.
+* :func:`sessionize_window` - the one-window-per-user formulation: one
+  shuffle and one sort, but a user holding a third of all rows would be one
+  sort task, so it only gets users below the hot threshold.
 """
 
 from __future__ import annotations
@@ -142,6 +143,11 @@ def session_starts(
     return joined.select(*keys, "_s", F.coalesce(local_start, F.col("_carry")).alias("_start"))
 
 
+# Users with more rows than this take the two-level path; the rest are
+# sessionized with one window per user (a sort group of at most this many rows).
+HOT_ROWS = 5_000_000
+
+
 def sessionize(
     df: DataFrame,
     gap_seconds: int = SESSION_GAP_SECONDS,
@@ -151,16 +157,55 @@ def sessionize(
     bucket_seconds: int = DAY_SECONDS,
     seeds: DataFrame | None = None,
     source: DataFrame | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Add ``session_id`` to every row (skew-safe two-level form).
+    """Add ``session_id`` to every row.
+
+    Hot users are split from the rest: rows are counted per ``(*by, user)``
+    (map-side combined), users above ``hot_rows`` take the two-level path
+    (:func:`sessionize_two_level`, sort groups bounded by the bucket), all
+    others one window per user (:func:`sessionize_window`, sort groups of at
+    most ``hot_rows`` rows). The hot-user list is broadcast: it has at most
+    ``rows / hot_rows`` entries. ``hot_rows=None`` sends everyone through the
+    two-level path (also used when ``seeds`` are given).
 
     ``by``: extra keys that split independent runs (e.g. a run date).
     Rows with a NULL time keep a session id of just the user.
     ``source``: optional rows with the same distinct ``(*by, user, second)``
     set as ``df`` (e.g. the input before de-duplication) to compute the
-    session starts from; then ``df``'s own upstream runs only once.
+    two-level session starts from; then ``df``'s own upstream runs once.
     """
     df = df.drop("session_id")
+    if hot_rows is None or seeds is not None:
+        return sessionize_two_level(df, gap_seconds, by, user, time_col, bucket_seconds, seeds, source)
+    exprs, keys = encode_keys(df, [*by, user])
+    enc = df.select("*", *exprs)
+    counts = enc.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.broadcast(counts.where(F.col("_n") > F.lit(hot_rows)).select(*keys))
+    cold_part = enc.join(hot, keys, "left_anti").drop(*keys)
+    hot_part = enc.join(hot, keys, "left_semi").drop(*keys)
+    hot_src = None
+    if source is not None:
+        s_exprs, _ = encode_keys(source, [*by, user])
+        hot_src = source.select("*", *s_exprs).join(hot, keys, "left_semi").drop(*keys)
+    cold = sessionize_window(cold_part, gap_seconds, by, user, time_col)
+    warm = sessionize_two_level(hot_part, gap_seconds, by, user, time_col, bucket_seconds, None, hot_src)
+    return cold.unionByName(warm)
+
+
+def sessionize_two_level(
+    df: DataFrame,
+    gap_seconds: int = SESSION_GAP_SECONDS,
+    by: Sequence[str] = (),
+    user: str = "user_id",
+    time_col: str = "event_time_utc",
+    bucket_seconds: int = DAY_SECONDS,
+    seeds: DataFrame | None = None,
+    source: DataFrame | None = None,
+) -> DataFrame:
+    """Skew-safe form: session starts from distinct ``(user, second)`` pairs in
+    ``(user, bucket)`` sort groups, joined back on ``(user, second)``."""
+    df = df.drop("session_id")
     src = df if source is None else source
     starts = session_starts(src, gap_seconds, by, user, time_col, bucket_seconds, seeds)
     exprs, keys = encode_keys(df, [*by, user])
@@ -178,7 +223,9 @@ def sessionize_window(
     user: str = "user_id",
     time_col: str = "event_time_utc",
 ) -> DataFrame:
-    """Single window per user: lag -> flag -> running sum -> min per session."""
+    """Single window per user: lag -> flag -> running sum -> min per session.
+
+    One sort group per user: used for users below the hot threshold."""
     order = [F.col(time_col)] + [F.col(c) for c in ("event_type", "product_id") if c in df.columns]
     w = Window.partitionBy(*by, user).orderBy(*order)
     prev = F.lag(time_col).over(w)

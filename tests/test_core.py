@@ -13,6 +13,7 @@ from cadence.operators.sessions import (
     midnight_sessions,
     session_summary,
     sessionize,
+    sessionize_two_level,
     sessionize_window,
 )
 from cadence.plans.pipeline import transform
@@ -139,9 +140,10 @@ def test_null_user_and_null_time(spark):
     df = with_local_time(
         raw_rows(spark, [ev("2019-10-01 00:00:00", user=None), ev(None, user=1), ev("2019-10-01 00:00:00", user=1)])
     )
-    a = sorted((str(r.user_id), str(r.event_time), r.session_id) for r in sessionize(df).collect())
     b = sorted((str(r.user_id), str(r.event_time), r.session_id) for r in sessionize_window(df).collect())
-    assert a == b
+    for hot_rows in (None, 0, 1):
+        a = sorted((str(r.user_id), str(r.event_time), r.session_id) for r in sessionize(df, hot_rows=hot_rows).collect())
+        assert a == b, hot_rows
     assert ("None", "2019-10-01 00:00:00 UTC", "1569888000") in a
     assert ("1", "None", "1") in a
 
@@ -158,10 +160,12 @@ def test_two_level_equals_single_window_on_random_data(spark):
         "user_id", F.timestamp_seconds("s").alias("event_time_utc"), "event_type", "product_id"
     ).dropDuplicates()
     for gap in (300, 1800, 86400):
+        b = sessionize_window(df, gap)
         for bucket in (3600, 86400):
-            a = sessionize(df, gap, bucket_seconds=bucket)
-            b = sessionize_window(df, gap)
+            a = sessionize_two_level(df, gap, bucket_seconds=bucket)
             assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, (gap, bucket)
+        mixed = sessionize(df, gap, hot_rows=100)  # some users hot, some cold
+        assert mixed.exceptAll(b).count() == 0 and b.exceptAll(mixed).count() == 0, gap
 
 
 def test_seeded_sessions_continue_published_state(spark):
@@ -220,16 +224,17 @@ def test_sessionize_properties(spark):
             "user_id", F.timestamp_seconds("s").alias("event_time_utc"), "event_type", "product_id"
         )
 
-    base = sessionize(frame(rows, 3))
-    shuffled = list(rows)
-    random.Random(5).shuffle(shuffled)
-    perm = sessionize(frame(shuffled, 7))
-    assert base.exceptAll(perm).count() == 0 and perm.exceptAll(base).count() == 0  # order-free
-    again = sessionize(base)
-    assert again.exceptAll(base).count() == 0 and base.exceptAll(again).count() == 0  # idempotent
-    one = sessionize(frame(rows, 3).where("user_id = 2"))
-    sub = base.where("user_id = 2")
-    assert one.exceptAll(sub).count() == 0 and sub.exceptAll(one).count() == 0  # commutes with a user filter
+    for hot_rows in (None, 40):
+        base = sessionize(frame(rows, 3), hot_rows=hot_rows)
+        shuffled = list(rows)
+        random.Random(5).shuffle(shuffled)
+        perm = sessionize(frame(shuffled, 7), hot_rows=hot_rows)
+        assert base.exceptAll(perm).count() == 0 and perm.exceptAll(base).count() == 0  # order-free
+        again = sessionize(base, hot_rows=hot_rows)
+        assert again.exceptAll(base).count() == 0 and base.exceptAll(again).count() == 0  # idempotent
+        one = sessionize(frame(rows, 3).where("user_id = 2"), hot_rows=hot_rows)
+        sub = base.where("user_id = 2")
+        assert one.exceptAll(sub).count() == 0 and sub.exceptAll(one).count() == 0  # commutes with a user filter
 
 
 def _brute_force_ids(events, gap):
@@ -260,10 +265,10 @@ def test_sessionize_against_brute_force_many_datasets(spark):
     df = spark.createDataFrame(events, "run long, user_id long, s long").select(
         "run", "user_id", F.timestamp_seconds("s").alias("event_time_utc"), "s"
     )
-    for gap, bucket in ((300, 86400), (300, 600), (3600, 86400)):
-        out = sessionize(df, gap, by=("run",), bucket_seconds=bucket).collect()
+    for gap, bucket, hot_rows in ((300, 86400, None), (300, 600, None), (3600, 86400, 6), (300, 86400, 5_000_000)):
+        out = sessionize(df, gap, by=("run",), bucket_seconds=bucket, hot_rows=hot_rows).collect()
         got = {(r.run, r.user_id, r.s): r.session_id for r in out}
-        assert got == _brute_force_ids(events, gap), (gap, bucket)
+        assert got == _brute_force_ids(events, gap), (gap, bucket, hot_rows)
 
 
 def test_hot_user_third_of_rows(spark):
@@ -276,6 +281,7 @@ def test_hot_user_third_of_rows(spark):
     )
     df = hot.unionByName(cold).select("user_id", F.timestamp_seconds("s").alias("event_time_utc"), F.lit("view").alias(
         "event_type"), F.lit(1).cast("long").alias("product_id")).dropDuplicates()
-    a = sessionize(df, 300)
     b = sessionize_window(df, 300)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for hot_rows in (10_000, None):  # user 0 hot, the rest cold; then everyone two-level
+        a = sessionize(df, 300, hot_rows=hot_rows)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, hot_rows
