@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.timecols import parse_utc, with_local_time
 from cadence.operators.dedup import dedup_events
-from cadence.operators.sessions import DAY_SECONDS, sessionize
+from cadence.operators.sessions import DAY_SECONDS, HOT_ROWS, sessionize
 from cadence.schema import LOCAL_ZONE, SESSION_GAP_SECONDS
 
 
@@ -20,10 +20,13 @@ def transform(
     by: Sequence[str] = (),
     bucket_seconds: int = DAY_SECONDS,
     seeds: DataFrame | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Raw events -> silver ``activity`` rows (raw columns + times + session id).
 
     ``by`` keeps independent runs apart (dedup and sessions are per run).
+    ``hot_rows``: users above it take the two-level session path (see
+    :func:`cadence.operators.sessions.sessionize`).
     """
     deduped = dedup_events(raw, key=(*by, "user_id", "event_time", "event_type", "product_id"))
     timed = with_local_time(deduped, zone)
@@ -31,7 +34,9 @@ def transform(
     # starts come from two pruned raw columns: the dedup shuffle has a single
     # consumer and is never planned twice.
     starts_src = raw.select(*by, "user_id", parse_utc("event_time").alias("event_time_utc"))
-    return sessionize(timed, gap_seconds, by=by, bucket_seconds=bucket_seconds, seeds=seeds, source=starts_src)
+    return sessionize(
+        timed, gap_seconds, by=by, bucket_seconds=bucket_seconds, seeds=seeds, source=starts_src, hot_rows=hot_rows
+    )
 
 
 def incremental_all_days(

@@ -67,7 +67,10 @@ def main() -> None:
         f"Input: `{sf}`. Generated by `scripts/plan_report.py`.",
         "",
         "Reading guide. Silver: `hash(user_id, event_time, event_type, product_id)` is the",
-        "dedup shuffle (once); `hash(_k0, _z0, _s)` the distinct (user, second) relation and the",
+        "dedup shuffle (once). Default path: a first stage counts rows per user (partial counts),",
+        "the hot-user list is broadcast, and `hash(user_id)` is the per-user window of the cold users;",
+        "when the hot list is empty, as here, AQE removes the counting branch and the hot path from the",
+        "final plan. Two-level path: `hash(_k0, _z0, _s)` is the distinct (user, second) relation and the",
         "final join on (user, second); `hash(_k0, _z0, _b)` the (user, day) sort groups, reused",
         "by the per-day summary; `hash(_k0, _z0)` the per-user summary (a few rows per user).",
         "`_k*`/`_z*` are the null-safe encodings of the keys. With static broadcasts off, both",
@@ -76,7 +79,8 @@ def main() -> None:
         "sort-merge, and AQE splits skewed partitions.",
         "",
     ]
-    lines += summarise("silver transform (dedup -> time -> sessions)", transform(raw))
+    lines += summarise("silver transform, default (no user above hot_rows: one window per user)", transform(raw))
+    lines += summarise("silver transform, two-level path for every user (hot_rows=None)", transform(raw, hot_rows=None))
     lines += summarise("incremental replay, all dates (lookback 1)", incremental_all_days(raw, 1))
     lines += summarise("gold grain from committed silver", marts.activity_grain(read_committed(spark, root)))
     for name in ("mart_wau", "fact_daily_activity", "mart_stickiness", "mart_funnel", "mart_retention"):
