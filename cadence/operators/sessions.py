@@ -97,7 +97,14 @@ def session_starts(
     )
     w_local = Window.partitionBy(*keys, "_b").orderBy("_s")
     prev = F.lag("_s").over(w_local)
-    secs = secs.select("*", prev.alias("_prev"), ((F.col("_s") - prev) >= F.lit(gap_seconds)).alias("_brk"))
+    secs = secs.select("*", ((F.col("_s") - prev) >= F.lit(gap_seconds)).alias("_brk"))
+    # latest internal break at or before each second (same sort: no re-sort)
+    secs = secs.select(
+        "*",
+        F.max(F.when(F.col("_brk"), F.col("_s")))
+        .over(w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        .alias("_local_start"),
+    )
     # One row per (user, bucket): first/last second and the last internal break.
     summary = secs.groupBy(*keys, "_b").agg(
         F.min("_s").alias("_first"),
@@ -123,24 +130,22 @@ def session_starts(
     prev_last = F.lag("_last").over(w_user)
     first_new = prev_last.isNull() | ((F.col("_first") - prev_last) >= F.lit(gap_seconds))
     start_max = F.coalesce("_seed_start", "_last_brk", F.when(first_new, F.col("_first")))
+    carry = F.max("_start_max").over(w_user.rowsBetween(Window.unboundedPreceding, -1))
+    # the start of the bucket's first second: itself if it opens a session,
+    # else the latest start of the earlier buckets (or of the seed)
     summary = (
         summary.select("*", first_new.alias("_first_new"), start_max.alias("_start_max"))
         .select(
             *keys,
             "_b",
-            "_first_new",
             "_is_seed",
-            F.max("_start_max").over(w_user.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
+            F.when(F.col("_first_new"), F.col("_first")).otherwise(carry).alias("_head"),
         )
         .where(~F.col("_is_seed"))  # a literal per union branch: folds away, nothing pushed down
         .drop("_is_seed")
     )
     joined = secs.join(summary, [*keys, "_b"])
-    is_new = F.when(F.col("_prev").isNull(), F.col("_first_new")).otherwise(F.col("_brk"))
-    local_start = F.max(F.when(is_new, F.col("_s"))).over(
-        w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return joined.select(*keys, "_s", F.coalesce(local_start, F.col("_carry")).alias("_start"))
+    return joined.select(*keys, "_s", F.coalesce("_local_start", "_head").alias("_start"))
 
 
 # Users with more rows than this take the two-level path; the rest are
