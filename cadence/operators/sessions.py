@@ -151,6 +151,9 @@ def session_starts(
 # Users with more rows than this take the two-level path; the rest are
 # sessionized with one window per user (a sort group of at most this many rows).
 HOT_ROWS = 5_000_000
+# Largest hot-user list that is broadcast (about 16 bytes a key); beyond it
+# every user takes the two-level path and nothing is broadcast.
+MAX_HOT_KEYS = 1_000_000
 
 
 def sessionize(
@@ -163,17 +166,23 @@ def sessionize(
     seeds: DataFrame | None = None,
     source: DataFrame | None = None,
     hot_rows: int | None = HOT_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Add ``session_id`` to every row.
 
-    Hot users are split from the rest: rows are counted per ``(*by, user)``
-    (map-side combined), users above ``hot_rows`` take the two-level path
-    (:func:`sessionize_two_level`, sort groups bounded by the bucket), all
-    others one window per user (:func:`sessionize_window`, sort groups of at
-    most ``hot_rows`` rows). The hot-user list is broadcast: it has at most
-    ``rows / hot_rows`` entries. ``hot_rows=None`` sends everyone through the
-    two-level path (also used when ``seeds`` are given).
+    Hot users are split from the rest. Rows are counted per ``(*by, user)``
+    (map-side combined; on ``source`` when given, which has at least as many
+    rows per user, so the split stays conservative) and one small job checks
+    how many users exceed ``hot_rows``:
 
+    * none: one window per user (:func:`sessionize_window`), each sort group
+      at most ``hot_rows`` rows;
+    * up to ``max_hot_keys``: that list is broadcast; hot users take the
+      two-level path (:func:`sessionize_two_level`, sort groups bounded by
+      the bucket), all others one window per user;
+    * more: every user takes the two-level path, nothing is broadcast.
+
+    ``hot_rows=None`` (or ``seeds``) sends everyone through the two-level path.
     ``by``: extra keys that split independent runs (e.g. a run date).
     Rows with a NULL time keep a session id of just the user.
     ``source``: optional rows with the same distinct ``(*by, user, second)``
@@ -183,16 +192,23 @@ def sessionize(
     df = df.drop("session_id")
     if hot_rows is None or seeds is not None:
         return sessionize_two_level(df, gap_seconds, by, user, time_col, bucket_seconds, seeds, source)
-    exprs, keys = encode_keys(df, [*by, user])
+    base = df if source is None else source
+    b_exprs, keys = encode_keys(base, [*by, user])
+    counts = base.select(*b_exprs).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > F.lit(hot_rows)).select(*keys)
+    n_hot = hot.count()  # the size check behind the broadcast below
+    if n_hot == 0:
+        return sessionize_window(df, gap_seconds, by, user, time_col)
+    if n_hot > max_hot_keys:
+        return sessionize_two_level(df, gap_seconds, by, user, time_col, bucket_seconds, None, source)
+    hot = F.broadcast(hot)
+    exprs, _ = encode_keys(df, [*by, user])
     enc = df.select("*", *exprs)
-    counts = enc.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(counts.where(F.col("_n") > F.lit(hot_rows)).select(*keys))
     cold_part = enc.join(hot, keys, "left_anti").drop(*keys)
     hot_part = enc.join(hot, keys, "left_semi").drop(*keys)
     hot_src = None
     if source is not None:
-        s_exprs, _ = encode_keys(source, [*by, user])
-        hot_src = source.select("*", *s_exprs).join(hot, keys, "left_semi").drop(*keys)
+        hot_src = source.select("*", *b_exprs).join(hot, keys, "left_semi").drop(*keys)
     cold = sessionize_window(cold_part, gap_seconds, by, user, time_col)
     warm = sessionize_two_level(hot_part, gap_seconds, by, user, time_col, bucket_seconds, None, hot_src)
     return cold.unionByName(warm)

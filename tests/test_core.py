@@ -282,6 +282,7 @@ def test_hot_user_third_of_rows(spark):
     df = hot.unionByName(cold).select("user_id", F.timestamp_seconds("s").alias("event_time_utc"), F.lit("view").alias(
         "event_type"), F.lit(1).cast("long").alias("product_id")).dropDuplicates()
     b = sessionize_window(df, 300)
-    for hot_rows in (10_000, None):  # user 0 hot, the rest cold; then everyone two-level
-        a = sessionize(df, 300, hot_rows=hot_rows)
+    # user 0 hot, the rest cold; too many hot users for the broadcast; everyone two-level
+    for hot_rows, max_keys in ((10_000, 1_000_000), (10, 5), (None, 0)):
+        a = sessionize(df, 300, hot_rows=hot_rows, max_hot_keys=max_keys)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, hot_rows
