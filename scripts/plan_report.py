@@ -67,10 +67,9 @@ def main() -> None:
         f"Input: `{sf}`. Generated by `scripts/plan_report.py`.",
         "",
         "Reading guide. Silver: `hash(user_id, event_time, event_type, product_id)` is the",
-        "dedup shuffle (once). Default path: a first stage counts rows per user (partial counts),",
-        "the hot-user list is broadcast, and `hash(user_id)` is the per-user window of the cold users;",
-        "when the hot list is empty, as here, AQE removes the counting branch and the hot path from the",
-        "final plan. Two-level path: `hash(_k0, _z0, _s)` is the distinct (user, second) relation and the",
+        "dedup shuffle (once). Default path: a small job first counts raw rows per user; with no user",
+        "above `hot_rows` (as here) the plan is the dedup shuffle plus `hash(user_id)` for one window",
+        "per user. Two-level path (hot users, or `hot_rows=None`): `hash(_k0, _z0, _s)` is the distinct (user, second) relation and the",
         "final join on (user, second); `hash(_k0, _z0, _b)` the (user, day) sort groups, reused",
         "by the per-day summary; `hash(_k0, _z0)` the per-user summary (a few rows per user).",
         "`_k*`/`_z*` are the null-safe encodings of the keys. With static broadcasts off, both",
