@@ -247,6 +247,9 @@ SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n) - sum(d) AS BIGINT) AS exact_
        CAST(sum(n) - count(*) AS BIGINT) / nullif(CAST(sum(n) AS BIGINT), 0) AS key_rate
 FROM per_key"""
     q["sessionize"] = _on_silver("SELECT user_id, event_time, event_type, product_id, session_id FROM activity")
+    # the same sessions; the Spark side takes the skew-safe / split physical paths
+    q["sessionize_two_level"] = q["sessionize"]
+    q["sessionize_hot_split"] = q["sessionize"]
     q["silver_activity"] = _on_silver(
         f"""SELECT {RAW_COLS}, {_ts('event_time_utc')} AS event_time_utc, {_ts('event_time_kst')} AS event_time_kst,
        event_date, session_id FROM activity"""
