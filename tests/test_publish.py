@@ -172,3 +172,35 @@ def test_sources_read_and_transform_sample_and_sql_marts(spark, tmp_dir):
                 "       count(DISTINCT user_id) AS wau_users\nFROM activity GROUP BY 1 ORDER BY 1;\n")
     (weekly,) = sql_marts(spark, f"{tmp_dir}/sql", silver, ["weekly"]).values()
     assert [r.wau_users for r in weekly.collect()] == [2, 1]
+
+
+def test_corrupt_rows_are_captured(spark, tmp_dir):
+    from cadence.sources.files import CORRUPT_COLUMN, read_events
+
+    path = f"{tmp_dir}/raw.csv"
+    with open(path, "w") as f:
+        f.write("event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n")
+        f.write("2019-10-01 00:00:00 UTC,view,1,2,c,b,1.0,7,s\n")
+        f.write("2019-10-01 00:01:00 UTC,view,not-a-number,2,c,b,1.0,7,s\n")
+    rows = read_events(spark, path, keep_corrupt=True).collect()
+    bad = [r for r in rows if r[CORRUPT_COLUMN] is not None]
+    assert len(rows) == 2 and len(bad) == 1 and "not-a-number" in bad[0][CORRUPT_COLUMN]
+
+
+def test_multi_path_read_and_payload_files(spark, tmp_dir):
+    from cadence.operators import marts, serving
+    from cadence.sources.files import read_events
+
+    a = _write_csv(spark, [ev("2019-10-07 00:00:00")], f"{tmp_dir}/a")
+    b = _write_csv(spark, [ev("2019-10-14 00:00:00", user=2)], f"{tmp_dir}/b")
+    raw = read_events(spark, f"{a},{b}")
+    assert raw.count() == 2
+    silver = transform(raw)
+    payload = serving.publish_payload({"mart_wau": marts.mart_wau(silver), "dim_date": marts.dim_date(silver)})
+    publish.write_payload(payload, f"{tmp_dir}/payload")
+    assert sorted(d for d in os.listdir(f"{tmp_dir}/payload") if d.startswith("table=")) == [
+        "table=dim_date",
+        "table=mart_wau",
+    ]
+    lines = spark.read.text(f"{tmp_dir}/payload/table=mart_wau").collect()
+    assert len(lines) == 2 and all('"week_start":"2019-10-' in r.value for r in lines)
