@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cadence.functions.timecols import epoch_seconds, with_local_time
 from cadence.operators import marts as marts_mod
 from cadence.operators.quality import split_valid_invalid
+from cadence.operators.sessions import HOT_ROWS
 from cadence.plans.pipeline import transform
 from cadence.schema import LOCAL_ZONE, RAW_COLUMNS, SESSION_GAP_SECONDS
 from cadence.session import ensure_utc, scratch_dir
@@ -56,6 +57,7 @@ def run_backfill(
     gap_seconds: int = SESSION_GAP_SECONDS,
     quarantine_path: str | None = None,
     quarantine_null_keys: bool = False,
+    hot_rows: int | None = HOT_ROWS,
 ) -> RunReport:
     """Whole input range -> every date published (gate before any swap).
 
@@ -70,7 +72,7 @@ def run_backfill(
         invalid.write.mode("overwrite").parquet(quarantine_path)
         qrows = spark.read.parquet(quarantine_path).count()
     obs_in, obs_out = Observation("input"), Observation("output")
-    silver = transform(valid.observe(obs_in, F.count(F.lit(1)).alias("rows")), zone, gap_seconds)
+    silver = transform(valid.observe(obs_in, F.count(F.lit(1)).alias("rows")), zone, gap_seconds, hot_rows=hot_rows)
     silver = silver.observe(obs_out, F.count(F.lit(1)).alias("rows"))
     checks = _stage_check_swap(spark, silver, output, None, obs_in, obs_out)
     return RunReport(

@@ -44,6 +44,7 @@ def incremental_all_days(
     lookback_days: int = 1,
     zone: str = LOCAL_ZONE,
     gap_seconds: int = SESSION_GAP_SECONDS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """What a daily incremental run with ``lookback_days`` of context publishes,
     for every date at once.
@@ -59,5 +60,5 @@ def incremental_all_days(
         lambda k: F.date_format(F.date_add(F.to_date("event_date"), k), "yyyy-MM-dd"),
     )
     fanned = timed.select(*raw.columns, F.explode(runs).alias("_run_date"))
-    out = transform(fanned, zone, gap_seconds, by=("_run_date",))
+    out = transform(fanned, zone, gap_seconds, by=("_run_date",), hot_rows=hot_rows)
     return out.where(F.col("event_date") == F.col("_run_date")).drop("_run_date")
