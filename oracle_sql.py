@@ -136,26 +136,27 @@ FROM (SELECT CAST(gs AS DATE) AS d
 
 
 def _stickiness(a: str = "activity") -> str:
-    return f"""SELECT dau.d AS date, dau.dau, mau.mau, dau.dau / nullif(mau.mau, 0) AS stickiness
-FROM (SELECT CAST(event_date AS DATE) AS d, {MONTH} AS month, count(DISTINCT user_id) AS dau
-      FROM {a} GROUP BY 1, 2) dau
-JOIN (SELECT {MONTH} AS month, count(DISTINCT user_id) AS mau FROM {a} GROUP BY 1) mau USING (month)"""
+    return f"""SELECT d.day AS date, d.n AS dau, m.n AS mau, d.n / nullif(m.n, 0) AS stickiness
+FROM (SELECT CAST(event_date AS DATE) AS day, count(DISTINCT user_id) AS n FROM {a} GROUP BY 1) d
+JOIN (SELECT {MONTH} AS ym, count(DISTINCT user_id) AS n FROM {a} GROUP BY 1) m
+  ON m.ym = strftime(d.day, '%Y-%m')"""
 
 
 def _funnel(a: str = "activity") -> str:
-    v = "count(DISTINCT CASE WHEN event_type = 'view' THEN user_id END)"
-    c = "count(DISTINCT CASE WHEN event_type = 'cart' THEN user_id END)"
-    p = "count(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END)"
-    return f"""SELECT {WEEK} AS week_start, {v} AS users_view, {c} AS users_cart, {p} AS users_purchase,
-       {c} / nullif({v}, 0) AS view_to_cart, {p} / nullif({c}, 0) AS cart_to_purchase
-FROM {a} GROUP BY 1"""
+    return f"""SELECT week_start, v AS users_view, c AS users_cart, p AS users_purchase,
+       c / nullif(v, 0) AS view_to_cart, p / nullif(c, 0) AS cart_to_purchase
+FROM (SELECT {WEEK} AS week_start,
+             count(DISTINCT user_id) FILTER (WHERE event_type = 'view') AS v,
+             count(DISTINCT user_id) FILTER (WHERE event_type = 'cart') AS c,
+             count(DISTINCT user_id) FILTER (WHERE event_type = 'purchase') AS p
+      FROM {a} GROUP BY 1)"""
 
 
 def _cvr_weeks(a: str = "activity") -> str:
     return f"""SELECT week_start, visitors, purchasers, purchasers / nullif(visitors, 0) AS cvr FROM (
   SELECT {WEEK} AS week_start,
-         count(DISTINCT CASE WHEN event_type = 'view' THEN user_id END) AS visitors,
-         count(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS purchasers
+         count(DISTINCT user_id) FILTER (WHERE event_type = 'view') AS visitors,
+         count(DISTINCT user_id) FILTER (WHERE event_type = 'purchase') AS purchasers
   FROM {a} GROUP BY 1)"""
 
 
@@ -173,17 +174,18 @@ def _arppu(a: str = "activity") -> str:
 
 
 def _retention(a: str = "activity") -> str:
-    return f"""SELECT c.cohort_week, CAST(date_diff('day', c.cohort_week, uw.wk) // 7 AS INTEGER) AS week_offset,
-       count(DISTINCT uw.user_id) AS active_users, cs.cohort_users,
-       CAST(count(DISTINCT uw.user_id) AS DOUBLE) / cs.cohort_users AS retention_rate
-FROM (SELECT DISTINCT user_id, {WEEK} AS wk FROM {a} WHERE user_id IS NOT NULL) uw
-JOIN (SELECT user_id, min({WEEK}) AS cohort_week FROM {a} WHERE user_id IS NOT NULL GROUP BY user_id) c
-  USING (user_id)
-JOIN (SELECT cohort_week, count(*) AS cohort_users FROM
-        (SELECT user_id, min({WEEK}) AS cohort_week FROM {a} WHERE user_id IS NOT NULL GROUP BY user_id)
-      GROUP BY cohort_week) cs
-  USING (cohort_week)
-GROUP BY 1, 2, 4"""
+    size = "(SELECT count(*) FROM firsts x WHERE x.cohort_week = cells.cohort_week)"
+    return f"""SELECT * FROM (
+WITH user_week AS (SELECT DISTINCT user_id, {WEEK} AS wk FROM {a} WHERE user_id IS NOT NULL),
+firsts AS (SELECT user_id, min(wk) AS cohort_week FROM user_week GROUP BY user_id),
+cells AS (
+  SELECT f.cohort_week, CAST(date_diff('day', f.cohort_week, w.wk) // 7 AS INTEGER) AS week_offset,
+         count(*) AS active_users
+  FROM user_week w JOIN firsts f ON f.user_id = w.user_id
+  GROUP BY 1, 2)
+SELECT cohort_week, week_offset, active_users, {size} AS cohort_users,
+       CAST(active_users AS DOUBLE) / {size} AS retention_rate
+FROM cells) retention"""
 
 
 ORDERS_ACTIVITY = """orders_activity AS (
