@@ -182,7 +182,8 @@ def sessionize(
       the bucket), all others one window per user;
     * more: every user takes the two-level path, nothing is broadcast.
 
-    ``hot_rows=None`` (or ``seeds``) sends everyone through the two-level path.
+    ``hot_rows=None`` sends everyone through the two-level path. ``seeds``
+    work on every path (see :func:`session_starts` and :func:`_window_seeded`).
     ``by``: extra keys that split independent runs (e.g. a run date).
     Rows with a NULL time keep a session id of just the user.
     ``source``: optional rows with the same distinct ``(*by, user, second)``
@@ -190,7 +191,7 @@ def sessionize(
     two-level session starts from; then ``df``'s own upstream runs once.
     """
     df = df.drop("session_id")
-    if hot_rows is None or seeds is not None:
+    if hot_rows is None:
         return sessionize_two_level(df, gap_seconds, by, user, time_col, bucket_seconds, seeds, source)
     base = df if source is None else source
     b_exprs, keys = encode_keys(base, [*by, user])
@@ -198,9 +199,9 @@ def sessionize(
     hot = counts.where(F.col("_n") > F.lit(hot_rows)).select(*keys)
     n_hot = hot.count()  # the size check behind the broadcast below
     if n_hot == 0:
-        return sessionize_window(df, gap_seconds, by, user, time_col)
+        return _window_seeded(df, seeds, gap_seconds, by, user, time_col)
     if n_hot > max_hot_keys:
-        return sessionize_two_level(df, gap_seconds, by, user, time_col, bucket_seconds, None, source)
+        return sessionize_two_level(df, gap_seconds, by, user, time_col, bucket_seconds, seeds, source)
     hot = F.broadcast(hot)
     exprs, _ = encode_keys(df, [*by, user])
     enc = df.select("*", *exprs)
@@ -209,11 +210,32 @@ def sessionize(
     hot_src = None
     if source is not None:
         hot_src = source.select("*", *b_exprs).join(hot, keys, "left_semi").drop(*keys)
-    cold = sessionize_window(cold_part, gap_seconds, by, user, time_col)
-    warm = sessionize_two_level(hot_part, gap_seconds, by, user, time_col, bucket_seconds, None, hot_src)
+    cold = _window_seeded(cold_part, seeds, gap_seconds, by, user, time_col)
+    warm = sessionize_two_level(hot_part, gap_seconds, by, user, time_col, bucket_seconds, seeds, hot_src)
     return cold.unionByName(warm)
 
 
+def _window_seeded(
+    df: DataFrame, seeds: DataFrame | None, gap_seconds: int, by: Sequence[str], user: str, time_col: str
+) -> DataFrame:
+    """Per-user window with optional seeds: each seed is one pseudo-event at
+    the user's last published second carrying its session start as a hint;
+    it continues (or not) like any event and is dropped afterwards."""
+    if seeds is None:
+        return sessionize_window(df, gap_seconds, by, user, time_col)
+    cols = df.columns
+    pseudo = seeds.select(
+        *by,
+        user,
+        F.timestamp_seconds(F.col("last_s").cast("long")).alias(time_col),
+        F.col("start_s").cast("long").alias("_hint"),
+        F.lit(True).alias("_seed"),
+    )
+    both = df.withColumn("_seed", F.lit(False)).unionByName(pseudo, allowMissingColumns=True)
+    out = sessionize_window(both, gap_seconds, by, user, time_col, start_hint="_hint")
+    return out.where(~F.col("_seed")).select(*cols, "session_id")
+
+
 def sessionize_two_level(
     df: DataFrame,
     gap_seconds: int = SESSION_GAP_SECONDS,
@@ -243,10 +265,13 @@ def sessionize_window(
     by: Sequence[str] = (),
     user: str = "user_id",
     time_col: str = "event_time_utc",
+    start_hint: str | None = None,
 ) -> DataFrame:
     """Single window per user: lag -> flag -> running sum -> min per session.
 
-    One sort group per user: used for users below the hot threshold."""
+    One sort group per user: used for users below the hot threshold.
+    ``start_hint``: optional column of epoch seconds that stands in for a
+    row's own second when taking the session start (seed pseudo-events)."""
     order = [F.col(time_col)] + [F.col(c) for c in ("event_type", "product_id") if c in df.columns]
     w = Window.partitionBy(*by, user).orderBy(*order)
     prev = F.lag(time_col).over(w)
@@ -254,10 +279,10 @@ def sessionize_window(
     flagged = df.withColumn(
         "_is_new", F.when(prev.isNull() | (gap >= F.lit(gap_seconds)), 1).otherwise(0)
     ).withColumn("_seq", F.sum("_is_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    start = F.min(time_col).over(Window.partitionBy(*by, user, "_seq"))
-    return flagged.withColumn("session_id", session_id_col(F.col(user), epoch_seconds(start))).drop(
-        "_is_new", "_seq"
-    )
+    own = epoch_seconds(time_col)
+    first = F.coalesce(F.col(start_hint), own) if start_hint else own
+    start = F.min(first).over(Window.partitionBy(*by, user, "_seq"))
+    return flagged.withColumn("session_id", session_id_col(F.col(user), start)).drop("_is_new", "_seq")
 
 
 # --------------------------------------------------------------------------- analyses

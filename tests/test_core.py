@@ -181,9 +181,10 @@ def test_seeded_sessions_continue_published_state(spark):
         F.max(F.unix_timestamp("event_time_utc")).alias("last_s"),
         F.max(F.substring_index("session_id", "_", -1).cast("long")).alias("start_s"),
     )
-    s2 = sessionize(day2, seeds=seeds)
-    parts = {r.event_time: r.session_id for r in s1.union(s2).collect()}
-    assert parts == whole
+    for hot_rows in (None, 5_000_000, 1):  # two-level, window with pseudo-events, split
+        s2 = sessionize(day2, seeds=seeds, hot_rows=hot_rows)
+        parts = {r.event_time: r.session_id for r in s1.union(s2).collect()}
+        assert parts == whole, hot_rows
 
 
 def test_transform_pipeline(spark):
