@@ -204,3 +204,16 @@ def test_multi_path_read_and_payload_files(spark, tmp_dir):
     ]
     lines = spark.read.text(f"{tmp_dir}/payload/table=mart_wau").collect()
     assert len(lines) == 2 and all('"week_start":"2019-10-' in r.value for r in lines)
+
+
+def test_register_dates_adds_partitions(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "silver")
+    act = transform(raw_rows(spark, [ev("2019-10-01 00:00:00"), ev("2019-10-02 00:00:00")]))
+    publish.publish_silver(spark, act, base)
+    name = "act_reg_" + os.path.basename(tmp_dir).replace("-", "_")
+    publish.ensure_activity_table(spark, base, name)
+    publish.register_dates(spark, ["2019-10-02"], base, name)
+    assert [r[0] for r in publish.show_partitions(spark, name).collect()] == ["event_date=2019-10-02"]
+    assert spark.table(name).count() == 1
+    publish.register_dates(spark, ["2019-10-01", "2019-10-02"], base, name)  # idempotent
+    assert spark.table(name).count() == 2
