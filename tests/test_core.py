@@ -287,3 +287,29 @@ def test_hot_user_third_of_rows(spark):
     for hot_rows, max_keys in ((10_000, 1_000_000), (10, 5), (None, 0)):
         a = sessionize(df, 300, hot_rows=hot_rows, max_hot_keys=max_keys)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, hot_rows
+
+
+def test_transform_same_rows_on_every_session_path(spark):
+    rnd = random.Random(99)
+    rows = []
+    for i in range(600):
+        user = rnd.choice([1, 1, 1, 2, 3, None])  # user 1 is hot, some users are NULL
+        sec = 1569888000 + rnd.randint(0, 3 * 86400)
+        t = dt_text(sec)
+        row = ev(t, user=user, product=rnd.randint(1, 4), etype=rnd.choice(["view", "cart", "purchase"]),
+                 price=rnd.choice([None, 1.0, 2.5]))
+        rows.append(row)
+        if i % 7 == 0:  # re-delivered with another (or no) price
+            rows.append(dict(row, price=rnd.choice([None, 0.5, 9.0])))
+    rows.append(ev("garbage", user=2))
+    raw = raw_rows(spark, rows)
+    want = transform(raw, hot_rows=None)
+    for hot_rows in (5_000_000, 150):
+        got = transform(raw, hot_rows=hot_rows)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, hot_rows
+
+
+def dt_text(sec: int) -> str:
+    import datetime as _dt
+
+    return _dt.datetime.fromtimestamp(sec, _dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S UTC")
