@@ -153,13 +153,13 @@ def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-_space = np.zeros(33, bool)
+_space = np.zeros(34, bool)
 _space[[9, 10, 11, 12, 13, 32]] = True
 
 
 def is_space(flat: np.ndarray) -> np.ndarray:
     """Space and the controls from 09 to 0D, no other character."""
-    return _space[np.minimum(flat, 31 + 2 * (flat == 32).astype(np.uint32) - (flat == 32).astype(np.uint32))]
+    return _space[np.minimum(flat, 33)]
 
 
 _letters: list[np.ndarray] = []

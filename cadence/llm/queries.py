@@ -7,12 +7,24 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import bpe, chat
-from cadence.llm.common import table
+from cadence.llm import bpe, chat, crf, html, language, rules, toxicity
+from cadence.llm.common import in_fold, table
 
 VOCABULARY = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "word_bpe_49k.json")
 
 
+def op1_counterfactual_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held = in_fold(F.col("doc_id"), 4, 2)
+    found = toxicity.classify(docs, table(spark, sf, "labels"), ~held)
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op4_mincut_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    return html.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op5_reply_tree_chat(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -20,14 +32,37 @@ def op5_reply_tree_chat(spark: SparkSession, sf: str) -> DataFrame:
     return chat.read_back(chat.format_trees(chat.as_chains(rows.unionByName(probe))))
 
 
+def op6_string_kernel_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held = in_fold(F.col("doc_id"), 4, 2)
+    return language.identify(docs, ~held).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op7_crf_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held = in_fold(F.col("doc_id"), 5, 0)
+    found = crf.classify(docs, table(spark, sf, "labels"), ~held)
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted", "bad_share")
+
+
 def op8_forced_boundary_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return bpe.digests(docs, VOCABULARY).drop("text")
 
 
+def op9_line_first_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return rules.clean(docs).select("doc_id", *rules.COUNTS, "base_failed", "kept", "n_lines_failed", "lost_chars")
+
+
 QUERIES = {
+    "op1_counterfactual_toxicity": op1_counterfactual_toxicity,
+    "op4_mincut_extraction": op4_mincut_extraction,
     "op5_reply_tree_chat": op5_reply_tree_chat,
+    "op6_string_kernel_language": op6_string_kernel_language,
+    "op7_crf_quality": op7_crf_quality,
     "op8_forced_boundary_bpe": op8_forced_boundary_bpe,
+    "op9_line_first_rules": op9_line_first_rules,
 }
 
 
