@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import bpe, chat, crf, html, language, rules, toxicity
+from cadence.llm import bpe, chat, chunks, crf, html, language, rules, toxicity
 from cadence.llm.common import in_fold, table
 
 VOCABULARY = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "word_bpe_49k.json")
@@ -20,6 +20,14 @@ def op1_counterfactual_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op2_line_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = chunks.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select(
+        "doc_id", F.col("n_lines").cast("long"), F.col("n_removed").cast("long"),
+        F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def op4_mincut_extraction(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages").select("page_id", "url", "html")
     return html.extract(pages).select("page_id", "url", "text", "n_chars")
@@ -57,6 +65,7 @@ def op9_line_first_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_counterfactual_toxicity": op1_counterfactual_toxicity,
+    "op2_line_chunk_dedup": op2_line_chunk_dedup,
     "op4_mincut_extraction": op4_mincut_extraction,
     "op5_reply_tree_chat": op5_reply_tree_chat,
     "op6_string_kernel_language": op6_string_kernel_language,
@@ -68,6 +77,49 @@ QUERIES = {
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_line_chunk_dedup": r"""
+            WITH split_ AS (
+                SELECT doc_id, string_split(replace(replace(text, chr(10), chr(10) || chr(1)), '. ', '. ' || chr(1)), chr(1)) AS p
+                FROM documents
+            ), line AS (
+                SELECT doc_id, len(p) AS n, generate_subscripts(p, 1) - 1 AS i, unnest(p) AS piece FROM split_
+            ), trimmed AS (
+                SELECT *, trim(piece, ' ' || chr(9) || chr(13) || chr(10)) AS l FROM line
+            ), hashed AS (
+                SELECT *, ('0x' || substr(md5(l), 1, 8))::BIGINT AS h FROM trimmed
+            ), rolled AS (
+                SELECT *, (lag(h) OVER w * 1000003 + h) % 2147483647 AS r, lag(l) OVER w AS above
+                FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+            ), marked AS (
+                SELECT *, i >= 2 AND i <= n - 2 AND r < lag(r) OVER w AND r <= lead(r) OVER w AS cut
+                FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+            ), cuts AS (
+                SELECT doc_id, i AS pos, above || chr(10) || l AS meet,
+                    coalesce(lag(i) OVER w, 0) AS low, coalesce(lead(i) OVER w, n) AS high
+                FROM marked WHERE cut WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+            ), firsts AS (
+                SELECT *, first_value(doc_id) OVER w AS r_doc, first_value(pos) OVER w AS r_at,
+                    first_value(low) OVER w AS r_low, first_value(high) OVER w AS r_high
+                FROM cuts WINDOW w AS (PARTITION BY meet ORDER BY doc_id, pos)
+            ), later AS (
+                SELECT * FROM firsts WHERE doc_id <> r_doc OR pos <> r_at
+            ), compared AS (
+                SELECT c.doc_id, c.pos, a.i, a.l,
+                    min(CASE WHEN b.l = a.l THEN 1 ELSE 0 END) OVER (
+                        PARTITION BY c.doc_id, c.pos, a.i >= c.pos ORDER BY CASE WHEN a.i >= c.pos THEN a.i ELSE -a.i END) AS same
+                FROM later c
+                JOIN trimmed a ON a.doc_id = c.doc_id AND a.i >= c.low AND a.i < c.high
+                LEFT JOIN trimmed b ON b.doc_id = c.r_doc AND b.i = a.i - c.pos + c.r_at AND b.i >= c.r_low AND b.i < c.r_high
+            ), runs AS (
+                SELECT doc_id, pos FROM compared WHERE same = 1 GROUP BY doc_id, pos HAVING sum(length(l)) >= 60
+            ), gone AS (
+                SELECT DISTINCT doc_id, i FROM compared JOIN runs USING (doc_id, pos) WHERE same = 1
+            )
+            SELECT t.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+                sum(CASE WHEN g.i IS NULL THEN length(piece) ELSE 0 END)::BIGINT AS kept_chars,
+                sha256(coalesce(string_agg(piece, '' ORDER BY t.i) FILTER (g.i IS NULL), '')) AS kept_sha256
+            FROM trimmed t LEFT JOIN gone g ON g.doc_id = t.doc_id AND g.i = t.i
+            GROUP BY t.doc_id""",
         "op5_reply_tree_chat": r"""
             WITH rows_ AS (
                 SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
