@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import bpe, chat, chunks, crf, html, language, rules, toxicity
+from cadence.llm import bpe, chat, chunks, crf, forest, html, language, rules, templates, toxicity
 from cadence.llm.common import in_fold, table
 
 VOCABULARY = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "word_bpe_49k.json")
@@ -28,6 +28,11 @@ def op2_line_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_template_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return templates.contaminated(docs, table(spark, sf, "benchmark")).drop("_key")
+
+
 def op4_mincut_extraction(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages").select("page_id", "url", "html")
     return html.extract(pages).select("page_id", "url", "text", "n_chars")
@@ -63,15 +68,21 @@ def op9_line_first_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rules.clean(docs).select("doc_id", *rules.COUNTS, "base_failed", "kept", "n_lines_failed", "lost_chars")
 
 
+def op10_lsh_forest(spark: SparkSession, sf: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_counterfactual_toxicity": op1_counterfactual_toxicity,
     "op2_line_chunk_dedup": op2_line_chunk_dedup,
+    "op3_template_decontamination": op3_template_decontamination,
     "op4_mincut_extraction": op4_mincut_extraction,
     "op5_reply_tree_chat": op5_reply_tree_chat,
     "op6_string_kernel_language": op6_string_kernel_language,
     "op7_crf_quality": op7_crf_quality,
     "op8_forced_boundary_bpe": op8_forced_boundary_bpe,
     "op9_line_first_rules": op9_line_first_rules,
+    "op10_lsh_forest": op10_lsh_forest,
 }
 
 
@@ -120,6 +131,51 @@ def oracle_sql() -> dict[str, str]:
                 sha256(coalesce(string_agg(piece, '' ORDER BY t.i) FILTER (g.i IS NULL), '')) AS kept_sha256
             FROM trimmed t LEFT JOIN gone g ON g.doc_id = t.doc_id AND g.i = t.i
             GROUP BY t.doc_id""",
+        "op3_template_decontamination": r"""
+            WITH texts AS (
+                SELECT 'd' AS kind, doc_id AS id, text FROM documents WHERE text IS NOT NULL
+                UNION ALL SELECT 'b', item_id, text FROM benchmark WHERE text IS NOT NULL
+            ), plain AS (
+                SELECT kind, id, ' ' || trim(regexp_replace(regexp_replace(text, '[ \t\n\x0b\f\r]+', ' ', 'g'), '[^\p{L}\p{N} ]+', '', 'g'), ' ') AS p
+                FROM texts
+            ), words AS (
+                SELECT kind, id, string_split(p, ' ')[2:] AS r,
+                    list_transform(string_split(regexp_replace(regexp_replace(
+                        p, ' \p{Lu}[^ ]*', ' <name>', 'g'), ' [0-9][^ ]*', ' <num>', 'g'), ' ')[2:],
+                        lambda w: CASE WHEN w IN ({units}) THEN '<unit>' ELSE w END) AS t
+                FROM plain
+            ), spots AS (
+                SELECT *, unnest(range(0, len(t) - size + 1)) AS pos
+                FROM (SELECT *, least(len(t), 8) AS size FROM words)
+            ), wins AS (
+                SELECT kind, id, pos, size, t[pos + 1 : pos + size] AS template, r[pos + 1 : pos + size] AS said FROM spots
+            ), items AS (
+                SELECT id AS item_id, pos AS item_pos, size, template, said AS fillers, count(*) OVER (PARTITION BY id) AS n_windows
+                FROM wins WHERE kind = 'b' AND len(list_filter(template, lambda w: w NOT IN ('<name>', '<num>', '<unit>', ''))) >= 4
+            ), hits AS (
+                SELECT w.id AS doc_id, i.item_id, i.n_windows, w.pos - i.item_pos AS shift, i.item_pos, i.template, i.fillers, w.said
+                FROM wins w JOIN items i ON w.template = i.template WHERE w.kind = 'd'
+            ), fills AS (
+                SELECT DISTINCT doc_id, item_id, shift, template, fillers, said FROM (
+                    SELECT doc_id, item_id, shift, unnest(template) AS template, unnest(fillers) AS fillers, unnest(said) AS said FROM hits)
+                WHERE template IN ('<name>', '<num>', '<unit>', '')
+            ), fits AS (
+                SELECT doc_id, item_id, shift FROM (SELECT DISTINCT doc_id, item_id, shift FROM hits)
+                EXCEPT
+                SELECT doc_id, item_id, shift FROM fills GROUP BY ALL
+                HAVING count(*) <> count(DISTINCT (template, fillers)) OR count(*) <> count(DISTINCT (template, said))
+            ), cover AS (
+                SELECT doc_id, item_id, n_windows, count(DISTINCT item_pos) AS windows
+                FROM hits JOIN fits USING (doc_id, item_id, shift) GROUP BY ALL
+            ), slots AS (
+                SELECT doc_id, item_id, count(DISTINCT (template, fillers, said)) AS n_slots,
+                    count(DISTINCT (template, fillers, said)) FILTER (fillers <> said) AS changed
+                FROM fills JOIN fits USING (doc_id, item_id, shift) GROUP BY ALL
+            )
+            SELECT doc_id, item_id, windows, n_windows, coalesce(n_slots, 0) AS n_slots, coalesce(changed, 0) AS changed
+            FROM cover LEFT JOIN slots USING (doc_id, item_id) WHERE windows >= 0.5 * n_windows""".replace(
+            "{units}", ", ".join(f"'{u}'" for u in templates.UNITS)
+        ),
         "op5_reply_tree_chat": r"""
             WITH rows_ AS (
                 SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
