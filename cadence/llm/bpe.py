@@ -197,14 +197,15 @@ def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", to: str = "decode
     return docs.withColumn(to, texts(F.col(ids)))
 
 
-def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Encoded, decoded again from the ids, and both as digests; ids and
-    decoded text never leave the task."""
+def digests(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFrame:
+    """All columns; n_tokens and digests of the ids and of the text decoded
+    from them, and the ids themselves if wanted."""
     spec = _shared(docs, vocabulary)
     kind = T.StructType([
         T.StructField("n_tokens", T.LongType()),
         T.StructField("ids_sha256", T.StringType()),
         T.StructField("decoded_sha256", T.StringType()),
+        *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []),
     ])
 
     @F.pandas_udf(kind)
@@ -216,7 +217,9 @@ def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
             rows = []
             for t in part:
                 ids = own.encode(t)
-                rows.append((len(ids), sha(" ".join([names[i] for i in ids])), sha(own.decode(ids))))
+                row = (len(ids), sha(" ".join([names[i] for i in ids])), sha(own.decode(ids)))
+                rows.append((*row, np.array(ids, dtype=np.int32)) if with_ids else row)
             yield pd.DataFrame(rows, columns=kind.names)
 
+    docs = docs.drop(*kind.names)
     return docs.withColumn("_d", both(F.col("text"))).select("*", "_d.*").drop("_d")
