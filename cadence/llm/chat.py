@@ -137,21 +137,16 @@ def format_trees(messages: DataFrame, top: int | None = None) -> DataFrame:
     else:
         full = full.withColumn("rank", F.lit(None).cast("int"))
 
-    def render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            done = [formatted([t["role"] for t in x], [t["text"] for t in x]) for x in part.turns]
-            yield part.assign(
-                n_turns=[len(x) for x in part.turns],
-                conversation=[c for c, _ in done],
-                loss_spans=[[{"begin": b, "end": e} for b, e in s] for _, s in done],
-            ).drop(columns="turns")
-
-    kind = full.schema["conv_id"].dataType.simpleString()
-    return full.select("conv_id", "leaf", "rank", "score", "turns").mapInPandas(
-        render,
-        f"conv_id {kind}, leaf long, rank int, score double, n_turns long, conversation string, "
-        "loss_spans array<struct<begin: int, end: int>>",
-    )
+    def render(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for column in parts:
+            done = [formatted([t["role"] for t in x], [t["text"] for t in x]) for x in column]
+            yield pd.DataFrame({
+                "n_turns": [len(x) for x in column], "conversation": pd.Series([c for c, _ in done], dtype=object),
+                "loss_spans": pd.Series([[{"begin": b, "end": e} for b, e in s] for _, s in done], dtype=object),
+            })
+
+    shape = F.pandas_udf(render, "n_turns long, conversation string, loss_spans array<struct<begin: int, end: int>>")
+    return full.withColumn("c", shape("turns")).select("conv_id", "leaf", "rank", "score", "c.*")
 
 
 def as_chains(conversations: DataFrame) -> DataFrame:
@@ -166,18 +161,15 @@ def as_chains(conversations: DataFrame) -> DataFrame:
 def read_back(chats: DataFrame) -> DataFrame:
     """What the formatted conversations say when they are parsed again."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
-        for part in batches:
+        for texts, marks in parts:
             rows = []
-            for conv, text, spans in zip(part.conv_id, part.conversation, part.loss_spans, strict=True):
+            for text, spans in zip(texts, marks, strict=True):
                 turns = parsed(text)
                 learned = "".join(unescaped(text[s["begin"] : s["end"]]) for s in spans)
-                rows.append((conv, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(learned), sha(learned), len(text)))
-            yield pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+                rows.append((len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(learned), sha(learned), len(text)))
+            yield pd.DataFrame(rows, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    kind = chats.schema["conv_id"].dataType.simpleString()
-    return chats.select("conv_id", "conversation", "loss_spans").mapInPandas(
-        read,
-        f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
-    )
+    kind = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    return chats.withColumn("r", F.pandas_udf(read, kind)("conversation", "loss_spans")).select("conv_id", "r.*")

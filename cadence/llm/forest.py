@@ -7,18 +7,21 @@ sorted orders. Documents that share a prefix in an order are neighbours there.
 
 *Adaptive depth*: a region (documents with a common prefix) of at most
 ``REGION`` documents is searched whole; a denser one is linked to its first
-document and split by a longer prefix, down to the whole signature. No
-candidate is dropped for the size of its region.
+document and split by a longer prefix, down to the whole signature. That
+connects most of a dense group at about one comparison a document. What it may
+miss is then looked for: in every dense region of the first depth, the nodes
+outside its largest component are compared with the whole region, in blocks. So
+no candidate is dropped for the size of its region.
 
 Copies (equal sets) are one node from the start. Candidates must agree in size
 and in a one-byte sketch of the signature, then links are confirmed on full
-sets of 64-bit shingle hashes. First a spanning set of candidates is confirmed
-and connected; then all other candidates between different components are. So a
-large group costs about one comparison a document, not all pairs.
+sets of 64-bit shingle hashes: first a spanning set of candidates, then, once
+that is connected, all candidates between different components.
 
 Every step that could meet a hot key counts first (partial sums before the
-shuffle): regions by prefix, comparisons by document (dealt over ``FANOUT``
-others each). All intermediate tables are in the shared folder.
+shuffle) and deals its rows over as many tasks as they need: regions by longer
+prefixes or blocks, comparisons by ``FANOUT`` partners. All intermediate tables
+are in the shared folder.
 
 Null text, or one without words: an empty set, linked with nothing. A null
 doc_id is linked with nothing (component null, kept). Rows that are equal in
@@ -27,6 +30,7 @@ doc_id and text are one document; ties go to the smallest doc_id.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -43,7 +47,8 @@ HASHES = TREES * STEP
 DEPTHS = (4, 8, 16, 32, HASHES)
 REGION = 64
 FANOUT = 128
-SLACK = 0.2  # a sketch may fall short of the wanted similarity by this much (over 4 standard deviations)
+BLOCK, OUTSIDERS = 256, 512  # nodes, and nodes outside the main component, that meet in one task
+SLACK = 0.15  # a sketch may fall short of the wanted similarity by this much (3.7 standard deviations)
 MAX_BROADCAST_KEYS = 1_000_000
 
 _seed = mixed(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
@@ -90,26 +95,22 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 def signed(docs: DataFrame) -> DataFrame:
     """doc_id, _text_key, n_shingles, node (a hash of the set; null: empty), sig."""
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            texts = part.text.fillna("").tolist()
+            texts = part.fillna("").tolist()
+            count, node, sig = [], [], []
             for s, e in blocks(texts):
                 sets = shingle_sets(texts[s:e])
-                full = [i for i, x in enumerate(sets) if len(x)]
-                node, sig = [None] * len(sets), [None] * len(sets)
-                if full:
-                    for i, row in zip(full, signatures([sets[i] for i in full]), strict=True):
-                        sig[i] = row.tobytes()
-                        node[i] = int.from_bytes(hashlib.blake2b(sets[i].tobytes(), digest_size=8).digest(), "big", signed=True)
-                own = part.iloc[s:e]
-                yield pd.DataFrame({
-                    "doc_id": own.doc_id, "_text_key": own._text_key, "n_shingles": [len(x) for x in sets],
-                    "node": pd.array(node, "Int64"), "sig": sig,
-                })
-
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("_text_key")).mapInPandas(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _text_key long, n_shingles long, node long, sig binary"
-    )
+                full = [x for x in sets if len(x)]
+                rows = iter(signatures(full) if full else ())
+                for x in sets:
+                    count.append(len(x))
+                    sig.append(next(rows).tobytes() if len(x) else None)
+                    node.append(int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "big", signed=True) if len(x) else None)
+            yield pd.DataFrame({"n_shingles": count, "node": pd.array(node, "Int64"), "sig": pd.Series(sig, dtype=object)})
+
+    sign = F.pandas_udf(run, "n_shingles long, node long, sig binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("_text_key"), sign("text").alias("s")).select("doc_id", "_text_key", "s.*")
 
 
 # ------------------------------------------------------------- candidates
@@ -121,30 +122,21 @@ def _prefix(depth: int) -> Column:
     return F.xxhash64("t", turned)
 
 
-def regions(nodes: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(region, node) of all regions of 2 to REGION nodes, and (node, hub)
-    of all denser regions, level by level."""
+def regions(nodes: DataFrame, folder: str) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Per depth: (region, t, node) of the regions of 2 to REGION nodes, and
+    (region, t, node, hub) of the denser ones, which go on to the next depth."""
     rows = nodes.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t"))
-    small, stars = [], []
+    small, dense = [], []
     for depth in DEPTHS:
         keyed = rows.select("node", "t", _prefix(depth).alias("region"))
         sizes = keyed.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1")
         found = saved(keyed.join(saved(sizes, f"{folder}/sizes{depth}"), "region"), f"{folder}/depth{depth}")
-        small.append(found.where(F.col("n") <= REGION).select("region", "node"))
-        dense = found.where(F.col("n") > REGION)
-        if dense.isEmpty():
+        small.append(found.where(F.col("n") <= REGION).select("region", "t", "node"))
+        dense.append(found.where(F.col("n") > REGION).select("region", "t", "node", "hub"))
+        if dense[-1].isEmpty():
             break
-        stars.append(dense.select("node", "hub"))
-        if depth < HASHES:
-            rows = dense.select("node", "t").join(nodes.select("node", "sig"), "node")
-    spark = nodes.sparkSession
-    star = stars[0] if stars else spark.createDataFrame([], "node long, hub long")
-    for s in stars[1:]:
-        star = star.unionAll(s)
-    part = small[0]
-    for s in small[1:]:
-        part = part.unionAll(s)
-    return part, star.where("node <> hub").distinct()
+        rows = dense[-1].select("node", "t").join(nodes.select("node", "sig"), "node")
+    return small, dense
 
 
 def sketch() -> Column:
@@ -176,55 +168,48 @@ def _grouped(parts: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
         yield rest
 
 
-def region_pairs(rows: DataFrame, percent: int, spanning: bool) -> DataFrame:
-    """(a, b), a < b: likely pairs within regions. rows: region, node, size,
-    sketch, comp. spanning: only as many as connect the likely pairs of a
-    region, most alike first; otherwise all between different components."""
+def _marks(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, HASHES)
+
+
+def spanning_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: of the likely pairs of a region, as many as connect them,
+    most alike first. rows: region, node, size, sketch; at most REGION a region."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _grouped(parts, "region"):
-            region, node, size, comp = (part[c].to_numpy() for c in ("region", "node", "size", "comp"))
-            marks = np.frombuffer(b"".join(part.sketch), np.uint8).reshape(-1, HASHES)
+            region, node, size = (part[c].to_numpy() for c in ("region", "node", "size"))
+            marks = _marks(part.sketch)
             edge = np.flatnonzero(np.diff(region)) + 1
             got = []
             for s, e in zip([0, *edge.tolist()], [*edge.tolist(), len(region)], strict=True):
-                if e - s < 2 or not spanning and (comp[s:e] == comp[s]).all():
-                    continue
                 i, j = np.triu_indices(e - s, 1)
                 i, j = i + s, j + s
-                if not spanning:
-                    use = comp[i] != comp[j]
-                    i, j = i[use], j[use]
                 alike, ok = _likely(marks[i], marks[j], size[i], size[j], percent)
                 i, j, alike = i[ok], j[ok], alike[ok]
-                if spanning:
-                    root = {}
-
-                    def find(x, root=root):
-                        while root.get(x, x) != x:
-                            x = root[x]
-                        return x
-
-                    for k in np.lexsort((np.maximum(node[i], node[j]), np.minimum(node[i], node[j]), -alike)):
-                        a, b = find(i[k]), find(j[k])
-                        if a != b:
-                            root[a] = b
-                            got.append((node[i[k]], node[j[k]]))
-                else:
-                    got += zip(node[i], node[j], strict=True)
+                top: dict[int, int] = {}
+                for k in np.lexsort((np.maximum(node[i], node[j]), np.minimum(node[i], node[j]), -alike)):
+                    a, b = i[k], j[k]
+                    while a in top:
+                        a = top[a]
+                    while b in top:
+                        b = top[b]
+                    if a != b:
+                        top[a] = b
+                        got.append((node[i[k]], node[j[k]]))
             pairs = np.array(got, dtype=np.int64).reshape(-1, 2)
             yield pd.DataFrame({"a": pairs.min(1), "b": pairs.max(1)})
 
-    dealt = rows.repartition("region").sortWithinPartitions("region")
-    return dealt.select("region", "node", "size", "sketch", "comp").mapInPandas(run, "a long, b long").distinct()
+    dealt = rows.select("region", "node", "size", "sketch").repartition("region").sortWithinPartitions("region")
+    return dealt.mapInPandas(run, "a long, b long").distinct()
 
 
 def star_pairs(stars: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """(a, b, alike), a < b: the likely ones of (node, hub)."""
+    """(node, hub, alike): the likely ones of (node, hub)."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            x, y = (np.frombuffer(b"".join(p[c]), np.uint8).reshape(-1, HASHES) for c in ("sketch", "hub_sketch"))
+            x, y = _marks(p.sketch), _marks(p.hub_sketch)
             alike, ok = _likely(x, y, p["size"].to_numpy(), p.hub_size.to_numpy(), percent)
             yield pd.DataFrame({"node": p.node[ok], "hub": p.hub[ok], "alike": alike[ok]})
 
@@ -235,38 +220,110 @@ def star_pairs(stars: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     )
 
 
-# ----------------------------------------------------------- confirmation
+def dealt_regions(small: DataFrame, dense: DataFrame, folder: str) -> DataFrame:
+    """key, t, node, size, sketch, comp, role, main: who meets whom in a task.
+
+    A node of role 1 is compared with all of role 0 under its key. In a small
+    region all nodes are both; in a dense one, ``main`` is the largest
+    component, its blocks have role 0 and the nodes outside of it role 1."""
+    columns = ["key", "t", "node", "size", "sketch", "comp", "role", "crowded", "main"]
+    tally = dense.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("c"))
+    tally = saved(
+        tally.groupBy("region").agg(
+            F.sum("c").alias("n"), F.max("c").alias("most"), F.max_by("comp", F.struct("c", "comp")).alias("main")
+        ).where("most < n"),
+        f"{folder}/dense",
+    )
+    deal = lambda of, seed, size: F.pmod(F.xxhash64("node", F.lit(seed)), F.ceil(F.col(of) / size))
+    every = lambda of, size: F.explode(F.sequence(F.lit(0), (F.ceil(F.col(of) / size) - 1).cast("int")))
+    met = dense.join(tally, "region").withColumn("r", F.col("n") - F.col("most"))
+    held = met.withColumn("p", every("r", OUTSIDERS)).withColumn("q", deal("n", 1, BLOCK)).withColumn("role", F.lit(0))
+    outside = met.where("comp <> main").withColumn("q", every("n", BLOCK)).withColumn("p", deal("r", 2, OUTSIDERS)).withColumn("role", F.lit(1))
+    far = held.unionByName(outside).withColumn("key", F.xxhash64("region", F.col("p").cast("long"), F.col("q").cast("long")))
+    mixed_up = small.groupBy("region").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("region")
+    near = small.join(saved(mixed_up, f"{folder}/mixed"), "region").withColumn("key", F.col("region"))
+    near = near.withColumn("role", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("main", F.lit(0).cast("long"))
+    far, near = far.withColumn("crowded", F.lit(True)), near.withColumn("crowded", F.lit(False))
+    return far.select(columns).unionByName(near.select(columns))
+
+
+def crossing(rows: DataFrame, percent: int) -> DataFrame:
+    """(key, x, ys): likely partners of x in other components. rows: see
+    :func:`dealt_regions`. A pair is reported in the first tree that has it."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held = None, None
+        for part in parts:
+            key, role, node, size, comp, t = (part[c].to_numpy() for c in ("key", "role", "node", "size", "comp", "t"))
+            main, crowded, marks = part.main.to_numpy(), part.crowded.to_numpy(), _marks(part.sketch)
+            edge = np.flatnonzero((np.diff(key) != 0) | (np.diff(role) != 0)) + 1
+            got = []
+            for s, e in zip([0, *edge.tolist()], [*edge.tolist(), len(key)], strict=True):
+                own = (node[s:e], size[s:e], comp[s:e], marks[s:e])
+                if role[s] == 0:
+                    same = now == key[s] and held is not None
+                    held = tuple(np.concatenate(x) for x in zip(held, own, strict=True)) if same else own
+                    now = key[s]
+                    continue
+                for a in range(s, e, 64):
+                    b = min(a + 64, e)
+                    same = marks[a:b, None] == held[3][None]
+                    ok = same.mean(-1) >= percent / 100 - SLACK
+                    less, more = np.minimum(size[a:b, None], held[1]), np.maximum(size[a:b, None], held[1])
+                    ok &= (100 * less >= percent * more) & (comp[a:b, None] != held[2])
+                    ok &= (crowded[a:b, None] & (held[2] == main[a:b, None])) | (node[a:b, None] < held[0])
+                    i, j = np.nonzero(ok)
+                    trees = same[i, j].reshape(-1, TREES, STEP).all(-1)
+                    new = trees.argmax(1) >= t[a:b][i]
+                    i, j = i[new], j[new]
+                    for k in np.unique(i):
+                        got.append((key[a], node[a + k], held[0][j[i == k]]))
+            yield pd.DataFrame(got, columns=["key", "x", "ys"])
+
+    return rows.repartition("key").sortWithinPartitions("key", "role").mapInPandas(run, "key long, x long, ys array<long>")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, folder: str) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. texts: node, text.
+# ----------------------------------------------------------- confirmation
+
 
-    The text of b goes to a's task; a pair's a with many partners is dealt over
-    several tasks, each of which gets a's text once."""
+def dealt_pairs(pairs: DataFrame, folder: str) -> DataFrame:
+    """(key, x, ys) of pairs (a, b): a's partners dealt over several tasks."""
     load = saved(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), f"{folder}/load")
-    dealt = pairs.join(load, "a").withColumn("deal", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / FANOUT)).cast("long"))
-    dealt = dealt.select("a", "deal", "b")
-    members = dealt.join(texts, dealt["b"] == texts["node"]).select("a", "deal", F.lit(1).alias("role"), "b", "text")
-    heads = dealt.select("a", "deal").distinct()
-    heads = heads.join(texts, heads["a"] == texts["node"]).select("a", "deal", F.lit(0).alias("role"), F.col("a").alias("b"), "text")
+    deal = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / FANOUT))
+    return pairs.join(load, "a").select(F.xxhash64("a", deal.cast("long")).alias("key"), F.col("b").alias("x"), F.array("a").alias("ys"))
+
+
+def confirmed(rows: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of (key, x, ys) whose full sets are similar enough.
+
+    texts: node, text. The ys of a key are bounded (a hub or a block) and held
+    as sets; the texts of the xs stream past them."""
+    held = rows.select("key", F.explode("ys").alias("y")).distinct()
+    held = held.join(texts, held["y"] == texts["node"]).select("key", F.lit(0).alias("role"), "node", F.lit(None).cast("array<long>").alias("ys"), "text")
+    passing = rows.join(texts, rows["x"] == texts["node"]).select("key", F.lit(1).alias("role"), "node", "ys", "text")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, own = None, None
+        now, sets = None, {}
         for p in parts:
             out, rows = [], p.text.tolist()
-            a, role, b = p.a.tolist(), p.role.tolist(), p.b.tolist()
+            key, role, node, ys = p.key.tolist(), p.role.tolist(), p.node.tolist(), p.ys.tolist()
             for s, e in blocks(rows):
                 for i, x in enumerate(shingle_sets(rows[s:e]), s):
+                    if key[i] != now:
+                        now, sets = key[i], {}
                     if role[i] == 0:
-                        now, own = a[i], x
-                    elif now == a[i]:
+                        sets[node[i]] = x
+                        continue
+                    for y in ys[i]:
+                        own = sets[y]
+                        if 100 * min(len(own), len(x)) < percent * max(len(own), len(x)):
+                            continue
                         both = len(np.intersect1d(own, x, assume_unique=True))
                         if 100 * both >= percent * (len(own) + len(x) - both):
-                            out.append((a[i], b[i]))
+                            out.append((min(y, node[i]), max(y, node[i])))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    rows = members.unionAll(heads).repartition("a", "deal").sortWithinPartitions("a", "deal", "role")
-    return rows.mapInPandas(run, "a long, b long")
+    return held.unionAll(passing).repartition("key").sortWithinPartitions("key", "role").mapInPandas(run, "a long, b long")
 
 
 def components(edges: DataFrame, folder: str) -> DataFrame:
@@ -315,17 +372,17 @@ def linked(docs: DataFrame, percent: int = 85) -> DataFrame:
         f"{folder}/nodes",
     )
     known = nodes.select("node", "size", sketch().alias("sketch"))
-    part, stars = regions(nodes, folder)
-    part = saved(part.join(known, "node"), f"{folder}/regions")
-    likely = saved(star_pairs(saved(stars, f"{folder}/stars"), known, percent), f"{folder}/likely")
-    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    # each node's most alike hub, and a spanning set of every region
+    small, dense = regions(nodes, folder)
+    union = lambda frames: functools.reduce(DataFrame.unionAll, frames)
+    inside = saved(union([x.withColumn("depth", F.lit(k)) for k, x in enumerate(small)]).join(known, "node"), f"{folder}/regions")
+    crowd = saved(dense[0].drop("hub").join(known, "node"), f"{folder}/crowds")
+    stars = saved(union(dense).where("node <> hub").select("node", "hub").distinct(), f"{folder}/stars")
+    likely = star_pairs(stars, known, percent)
+    # a spanning set of every region, and each node's most alike hub
     best = likely.groupBy("node").agg(F.max(F.struct("alike", (-F.col("hub")).alias("h"))).alias("m"))
-    best = best.select(*pair(F.col("node"), -F.col("m.h")))
-    first = saved(
-        region_pairs(part.withColumn("comp", F.lit(0).cast("long")), percent, True).unionAll(best).distinct(), f"{folder}/pairs1"
-    )
-    need = part.select("node").unionAll(likely.select("node")).unionAll(likely.select(F.col("hub").alias("node"))).distinct()
+    best = best.select(F.least("node", -F.col("m.h")).alias("a"), F.greatest("node", -F.col("m.h")).alias("b"))
+    first = saved(spanning_pairs(inside, percent).unionAll(best).distinct(), f"{folder}/pairs")
+    need = inside.select("node").unionAll(crowd.select("node")).distinct()
     places = saved(need.join(nodes, "node").select("node", "first.doc_id", "first._text_key"), f"{folder}/places")
     if places.count() <= MAX_BROADCAST_KEYS:
         places = F.broadcast(places)
@@ -334,19 +391,18 @@ def linked(docs: DataFrame, percent: int = 85) -> DataFrame:
         .join(places, ["doc_id", "_text_key"]).select("node", "text"),
         f"{folder}/texts",
     )
-    links = saved(confirmed(first, texts, percent, f"{folder}/first"), f"{folder}/links1")
+    links = saved(confirmed(dealt_pairs(first, folder), texts, percent), f"{folder}/links")
     one = components(links, f"{folder}/first")
     # all other candidates between different components
-    within = part.drop("comp").join(one, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    label = lambda x: one.select(F.col("node").alias(x), F.col("comp").alias(f"{x}_comp"))
-    far = likely.join(label("node"), "node", "left").join(label("hub"), "hub", "left").where(
-        F.coalesce("node_comp", "node") != F.coalesce("hub_comp", "hub")
+    part_of = lambda rows: rows.join(one, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    meeting = dealt_regions(
+        saved(part_of(inside.where("depth = 0").drop("depth")), f"{folder}/near"), saved(part_of(crowd), f"{folder}/far"), folder
     )
-    more = region_pairs(within, percent, False).unionAll(far.select(*pair(F.col("node"), F.col("hub")))).distinct()
-    second = saved(more.join(first, ["a", "b"], "left_anti"), f"{folder}/pairs2")
-    links2 = confirmed(second, texts, percent, f"{folder}/second").join(label("a"), "a", "left").join(label("b"), "b", "left")
-    links2 = saved(links2.select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b")), f"{folder}/links2")
-    two = components(links2, f"{folder}/second")
+    more = confirmed(saved(crossing(meeting, percent), f"{folder}/crossing"), texts, percent)
+    label = lambda x: one.select(F.col("node").alias(x), F.col("comp").alias(f"{x}_comp"))
+    more = more.join(label("a"), "a", "left").join(label("b"), "b", "left")
+    more = saved(more.select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b")).distinct(), f"{folder}/more")
+    two = components(more, f"{folder}/second")
     two = two.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
     members = nodes.select("node", F.col("first.doc_id").alias("doc_id"), "n_docs").join(one, "node", "left")
     members = members.withColumn("comp", F.coalesce("comp", "node")).join(two, "comp", "left")
