@@ -50,7 +50,7 @@ FRAME_WORDS = frozenset(
 )
 MAIN_WORDS = frozenset("article content main post story entry body text".split())
 
-_token = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_token = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</(?![a-zA-Z])[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _named = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _hidden = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _part = re.compile(r"[a-z]+")
@@ -144,7 +144,9 @@ def page_blocks(page: str) -> list[Block]:
         if not inline:
             containers += 1
             parent = parent if name in ("p", "br", "hr") or name in HEADINGS else containers
-        frame += 2 * (name in FRAME) + 2 * bool(words and not FRAME_WORDS.isdisjoint(words) and name not in ("body", "html"))
+        frame += 2 * (name in FRAME and not (name == "header" and main))
+        if words and name not in ("body", "html") and MAIN_WORDS.isdisjoint(words):
+            frame += 2 * (not FRAME_WORDS.isdisjoint(words))
         if name in MAIN or "main" in words and name == "div":
             main = True
         word = word or bool(words and not MAIN_WORDS.isdisjoint(words))
@@ -157,7 +159,7 @@ def page_blocks(page: str) -> list[Block]:
 
 
 # Weights of the block classifier: positive speaks for content.
-WEIGHTS = {"main": 4.0, "main_word": 1.0, "frame": -3.5, "linked": -3.0, "long": 0.6, "sentences": 0.8, "heading": 0.5, "outside": -3.0, "bias": 0.2}
+WEIGHTS = {"main": 4.0, "main_word": 1.0, "frame": -6.0, "linked": -3.0, "long": 0.6, "sentences": 0.8, "heading": 0.5, "outside": -3.0, "bias": 0.2}
 SMOOTH, SAME_CONTAINER = 0.5, 0.7
 
 

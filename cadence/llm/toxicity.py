@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from cadence.llm.common import SpanHasher, blocks, code_points, is_letter, labelled_texts, sigmoid, spans
 
 MAX_TRAIN, MAX_CHARS = 6000, 20_000
-MAX_FEATURES, LEAST_RATIO = 500, 18.0
+MAX_FEATURES, LEAST_RATIO = 1000, 10.0
 PREFIXES = (3, 4, 5, 6)
-RIDGE, COUNTERFACTUAL = 0.3, 20.0
+RIDGE, COUNTERFACTUAL = 0.1, 20.0
 TABLE = 1 << 22
 THRESHOLD = 0.3
 
@@ -153,11 +153,16 @@ def fit(texts: list[str], y: np.ndarray, counterfactual: float = COUNTERFACTUAL)
         hold[:-1, :-1] += counterfactual * len(texts) / len(delta) * (delta.T @ delta)
     w = np.zeros(x.shape[1])
     w[-1] = np.log(y.mean() / (1 - y.mean()))
-    for _ in range(12):  # Newton
+    loss = lambda w: np.logaddexp(0, x @ w).sum() - y @ (x @ w) + w @ hold @ w / 2
+    now = loss(w)
+    for _ in range(25):  # Newton, with shorter steps where a full one overshoots
         p = sigmoid(x @ w)
         step = np.linalg.solve((x * (p * (1 - p))[:, None].astype(np.float32)).T @ x + hold, x.T @ (p - y) + hold @ w)
-        w -= step
-        if np.abs(step).max() < 1e-4:
+        rate = 1.0
+        while (after := loss(w - rate * step)) > now and rate > 1e-3:
+            rate /= 2
+        w, gain, now = w - rate * step, now - after, after
+        if gain < 1e-4:
             break
     return {"codes": codes, "weight": w[:-1], "bias": float(w[-1])}
 
