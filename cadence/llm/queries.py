@@ -136,13 +136,11 @@ def oracle_sql() -> dict[str, str]:
                 SELECT 'd' AS kind, doc_id AS id, text FROM documents WHERE text IS NOT NULL
                 UNION ALL SELECT 'b', item_id, text FROM benchmark WHERE text IS NOT NULL
             ), plain AS (
-                SELECT kind, id, ' ' || trim(regexp_replace(regexp_replace(text, '[ \t\n\x0b\f\r]+', ' ', 'g'), '[^\p{L}\p{N} ]+', '', 'g'), ' ') AS p
-                FROM texts
+                SELECT kind, id, string_split(trim(regexp_replace(text, '[^\p{L}\p{N}]+', ' ', 'g'), ' '), ' ') AS r FROM texts
             ), words AS (
-                SELECT kind, id, string_split(p, ' ')[2:] AS r,
-                    list_transform(string_split(regexp_replace(regexp_replace(
-                        p, ' \p{Lu}[^ ]*', ' <name>', 'g'), ' [0-9][^ ]*', ' <num>', 'g'), ' ')[2:],
-                        lambda w: CASE WHEN w IN ({units}) THEN '<unit>' ELSE w END) AS t
+                SELECT kind, id, r, list_transform(range(1, len(r) + 1), lambda i: CASE
+                    WHEN regexp_matches(r[i], '^\p{Lu}') THEN '<name>' WHEN regexp_matches(r[i], '^[0-9]') THEN '<num>'
+                    WHEN i > 1 AND r[i] IN ({units}) AND regexp_matches(r[i - 1], '^[0-9]') THEN '<unit>' ELSE r[i] END) AS t
                 FROM plain
             ), spots AS (
                 SELECT *, unnest(range(0, len(t) - size + 1)) AS pos

@@ -1,13 +1,14 @@
 """Benchmark decontamination by templates (DataFrame functions only).
 
-Texts become templates: words that begin with a capital letter (names), with a
-digit (numbers) and unit words turn into typed placeholders, punctuation goes.
-Windows of ``WINDOW`` template words of all documents are hash-joined with those
-of the benchmark, so a question with other numbers, names or units still meets
-its original. Matched windows are compared word by word, and the slots of one
-alignment must be consistent: each original filler has one replacement, and no
-two fillers share one. A document is contaminated by an item when consistent
-windows cover ``COVER`` of the item's windows.
+Texts become templates: their words (runs of letters and digits) with typed
+placeholders for those that begin with a capital letter (names) or a digit
+(numbers), and for unit words after a number. Every window of ``WINDOW`` template
+words of the benchmark is looked up in all documents: its most literal run of
+``ANCHOR`` words is hash-joined with all such runs, then the window is compared
+word by word, so a question with other numbers, names or units still meets its
+original. The slots of one alignment must be consistent: each original filler
+has one replacement, and no two fillers share one. A document is contaminated by
+an item when consistent windows cover ``COVER`` of the item's windows.
 
 An item shorter than a window is one window of its own length; windows with
 fewer than ``LITERALS`` literal words are not used (nor counted), so an item made of
@@ -23,45 +24,47 @@ from pyspark.sql import functions as F
 
 from cadence.llm.chunks import let
 
-WINDOW, LITERALS, COVER = 8, 4, 0.5
+WINDOW, ANCHOR, LITERALS, COVER = 8, 4, 4, 0.5
 NAME, NUMBER, UNIT = "<name>", "<num>", "<unit>"
 #: Benchmark windows that may be broadcast (about 1 kB each at most); beyond, the hashes are joined by a shuffle.
 MAX_BROADCAST_WINDOWS = 50_000
 # Unit words.
 UNITS = (
-    "mm cm km ft yd mi inches feet yards miles meters metres kilometers kilometres centimeters g kg mg lb lbs oz "
-    "grams kilograms pounds ounces ml liters litres gallons cups sec seconds min minutes hours days weeks months "
+    "mm cm m km in ft yd mi inches feet yards miles meters metres kilometers kilometres centimeters g kg mg lb lbs oz "
+    "grams kilograms pounds ounces ml l liters litres gallons cups s sec seconds min minutes h hours days weeks months "
     "years mph kph kmh percent dollars cents euros usd eur degrees"
 ).split()
-WHITE = "[ \t\n\x0b\f\r]+"
 
 
-def raw_words(text: Column) -> Column:
-    """The words of the text as they stand, without punctuation."""
-    return F.split(F.concat(F.lit(" "), F.btrim(F.regexp_replace(_spaced(text), r"[^\p{L}\p{N} ]+", ""), F.lit(" "))), " ")
+def _plain(text: Column) -> Column:
+    """The words, with one blank before each."""
+    return F.concat(F.lit(" "), F.btrim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "), F.lit(" ")))
+
+
+def _words(plain: Column) -> Column:
+    """An array of the words (without the empty string before the first blank)."""
+    return F.split(F.substring(plain, 2, 2**31 - 1), " ")
 
 
-def _spaced(text: Column) -> Column:
-    return F.regexp_replace(text, WHITE, " ")
+def raw_words(text: Column) -> Column:
+    return _words(_plain(text))
 
 
 def template_words(text: Column) -> Column:
     """The same words with placeholders; as many as :func:`raw_words`."""
-    plain = F.concat(F.lit(" "), F.btrim(F.regexp_replace(_spaced(text), r"[^\p{L}\p{N} ]+", ""), F.lit(" ")))
-    named = F.regexp_replace(plain, r" \p{Lu}[^ ]*", f" {NAME}")
-    counted = F.regexp_replace(named, r" [0-9][^ ]*", f" {NUMBER}")
-    return F.split(F.regexp_replace(counted, f" (?:{'|'.join(UNITS)})(?![^ ])", f" {UNIT}"), " ")
+    named = F.regexp_replace(_plain(text), r" \p{Lu}[^ ]*", f" {NAME}")
+    measured = F.regexp_replace(named, f" [0-9][^ ]* (?:{'|'.join(UNITS)})(?![^ ])", f" {NUMBER} {UNIT}")
+    return _words(F.regexp_replace(measured, " [0-9][^ ]*", f" {NUMBER}"))
 
 
-def window_codes(words: Column) -> Column:
-    """A hash of each window of eight words (none for shorter arrays), from
-    hashes of two and four words, so each word is read once."""
+def anchor_codes(words: Column) -> Column:
+    """A hash of each run of four words (none for shorter arrays), from hashes
+    of two, so each word is read once."""
     pair = lambda a, step: F.when(
         F.size(a) > step,
         F.zip_with(F.slice(a, 1, F.size(a) - step), F.slice(a, step + 1, F.size(a) - step), lambda x, y: F.xxhash64(x, y)),
     ).otherwise(F.array().cast("array<bigint>"))
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    return let(hashed, lambda h: let(pair(h, 1), lambda two: let(pair(two, 2), lambda four: pair(four, 4))))
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(pair(h, 1), lambda two: pair(two, 2)))
 
 
 def literals(window: Column) -> Column:
@@ -69,55 +72,45 @@ def literals(window: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """item_id, _item, item_pos, size, code, template, fillers, n_windows."""
+    """item_id, _item, item_pos, size, template, fillers, n_windows, offset
+    (of the anchor in the window) and code (of the anchor)."""
     words = (
         items.where("item_id is not null and text is not null").select("item_id", "text").distinct()
         .select("item_id", F.xxhash64("item_id", "text").alias("_item"), raw_words(F.col("text")).alias("r"), template_words(F.col("text")).alias("t"))
-        # the first element of both is the empty string before the leading blank
-        .select("item_id", "_item", F.slice("r", 2, F.size("r")).alias("r"), F.slice("t", 2, F.size("t")).alias("t"))
     )
     size = F.least(F.size("t"), F.lit(WINDOW))
     each = (
-        words.where(F.size("t") > 0)
-        .select("*", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("t") - size)).alias("item_pos"))
+        words.select("*", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("t") - size)).alias("item_pos"))
         .select("item_id", "_item", "item_pos", "size", F.expr("slice(t, item_pos + 1, size)").alias("template"), F.expr("slice(r, item_pos + 1, size)").alias("fillers"))
         .where(literals(F.col("template")) >= LITERALS)
     )
     counts = each.groupBy("_item").agg(F.count(F.lit(1)).alias("n_windows"))
-    return each.join(counts, "_item").withColumn("code", F.array_join("template", " "))
-
-
-def _code_of_window(template: Column) -> Column:
-    """The code of a full window, as :func:`window_codes` gives it."""
-    return window_codes(template)[0]
+    runs = F.transform(
+        F.sequence(F.lit(0), F.col("size") - ANCHOR),
+        lambda o: F.struct(literals(F.slice("template", o + 1, F.lit(ANCHOR))).alias("literal"), (-o).alias("o")),
+    )
+    return (
+        each.join(counts, "_item").withColumn("offset", -F.array_max(runs)["o"])
+        .withColumn("code", anchor_codes(F.col("template"))[F.col("offset")])
+    )
 
 
 def matches(docs: DataFrame, items: DataFrame, most: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
     """Word-for-word equal template windows: doc_id, _key, pos, item_id, _item,
     item_pos, n_windows, template, fillers (of the item), said (of the document)."""
-    known = benchmark_windows(items).withColumn("code", F.when(F.col("size") == WINDOW, _code_of_window(F.col("template"))))
+    known = benchmark_windows(items)
     base = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_key")).where("text is not null").select(
         "doc_id", "_key", "text", template_words(F.col("text")).alias("t")
     )
-    full, short = known.where(F.col("size") == WINDOW), known.where(F.col("size") < WINDOW)
-    n_full, n_short = known.groupBy().agg(F.count("code"), F.count(F.lit(1)) - F.count("code")).first()
-    coded = base.withColumn("c", window_codes(F.col("t")))
-    if n_full <= most:
-        hit = coded.select("*", F.posexplode("c").alias("pos", "code")).join(F.broadcast(full), "code")
+    coded = base.withColumn("c", anchor_codes(F.col("t")))
+    if known.count() <= most:
+        hit = coded.select("*", F.posexplode("c").alias("spot", "code")).join(F.broadcast(known), "code")
     else:  # hashes first; the words come back by the document's key
-        spots = coded.select("_key", F.posexplode("c").alias("pos", "code")).join(full, "code").distinct()
+        spots = coded.select("_key", F.posexplode("c").alias("spot", "code")).join(known, "code").distinct()
         hit = base.join(spots, "_key")
-    out = [_compared(hit)]
-    if n_short:  # items shorter than a window: all places of their first word
-        size_known = F.broadcast(short) if n_short <= most else short
-        each = base.select("*", F.posexplode("t").alias("pos", "word"))
-        out.append(_compared(each.join(size_known, F.col("word") == F.col("template")[0])))
-    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
-
-
-def _compared(hit: DataFrame) -> DataFrame:
     return (
-        hit.where(F.expr("slice(t, pos + 1, size) = template"))
+        hit.withColumn("pos", F.col("spot") - F.col("offset"))
+        .where(F.expr("CASE WHEN pos >= 0 THEN slice(t, pos + 1, size) = template ELSE false END"))
         .withColumn("r", raw_words(F.col("text"))).withColumn("said", F.expr("slice(r, pos + 1, size)"))
         .select("doc_id", "_key", "pos", "item_id", "_item", "item_pos", "n_windows", "template", "fillers", "said")
     )
