@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.schema import EVENT_TIME_FORMAT, LOCAL_ZONE, MONEY_TYPE
+from cadence.schema import EVENT_TIME_FORMAT, LOCAL_ZONE, MONEY_TYPE, PRICE_LIMIT
 
 
 def _c(c: str | Column) -> Column:
@@ -54,9 +54,27 @@ def safe_div(num: str | Column, den: str | Column) -> Column:
     return _c(num).cast("double") / F.nullif(_c(den), F.lit(0)).cast("double")
 
 
-def money_sum(c: str | Column) -> Column:
-    """Exact sum of a price column (DECIMAL cents), returned as DOUBLE.
+def odd_price(c: str | Column) -> Column:
+    """NaN, infinite or beyond the limit: no amount of money."""
+    return F.isnan(_c(c)) | (F.abs(_c(c)) >= F.lit(PRICE_LIMIT))
+
+
+def exact_money(c: str | Column) -> Column:
+    """A price as a decimal, nothing rounded; NULL for odd prices."""
+    return F.when(~odd_price(c), _c(c)).try_cast(MONEY_TYPE)
+
+
+def odd_money(c: str | Column) -> Column:
+    """An odd price as it is, NULL for all others."""
+    return F.when(odd_price(c), _c(c))
 
-    A DOUBLE sum depends on the order of addition, so it differs between
-    runs and engines; the DECIMAL sum does not."""
-    return F.sum(_c(c).cast(MONEY_TYPE)).cast("double")
+
+def money_total(exact: Column, odd: Column) -> Column:
+    """DOUBLE total of two sums. A sum of decimals does not depend on the order
+    of addition; an odd price shows in the total as it would in a plain sum."""
+    return F.when(odd.isNull(), exact.cast("double")).otherwise(F.coalesce(exact.cast("double"), F.lit(0.0)) + odd)
+
+
+def money_sum(c: str | Column) -> Column:
+    """Total of a price column as DOUBLE."""
+    return money_total(F.try_sum(exact_money(c)), F.sum(odd_money(c)))

@@ -21,8 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.functions.timecols import month_of, safe_div, week_start
-from cadence.schema import MONEY_TYPE, STAGES
+from cadence.functions.timecols import exact_money, money_total, month_of, odd_money, safe_div, week_start
+from cadence.schema import STAGES
 
 
 def activity_grain(activity: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def activity_grain(activity: DataFrame) -> DataFrame:
     this grain as on the events (distinct counts are unchanged, additive
     measures are carried), so the gold job reads silver once."""
     return activity.groupBy("event_date", "event_type", "user_id", "session_id").agg(
-        F.count(F.lit(1)).alias("events"), F.sum(F.col("price").cast(MONEY_TYPE)).alias("revenue")
+        F.count(F.lit(1)).alias("events"), *_money_parts(activity)
     )
 
 
@@ -40,9 +40,17 @@ def _events(df: DataFrame) -> Column:
     return F.coalesce(F.sum("events"), F.lit(0).cast("long")) if "events" in df.columns else F.count(F.lit(1))
 
 
+def _money_parts(df: DataFrame) -> list[Column]:
+    """Revenue of a group in two sums that can be summed again: exact
+    decimals, and prices that are no amount of money (NaN, ...)."""
+    if "odd_revenue" in df.columns:
+        return [F.try_sum("revenue").alias("revenue"), F.sum("odd_revenue").alias("odd_revenue")]
+    return [F.try_sum(exact_money("price")).alias("revenue"), F.sum(odd_money("price")).alias("odd_revenue")]
+
+
 def _money(df: DataFrame) -> Column:
-    """Exact revenue of a group (DECIMAL cents)."""
-    return F.sum("revenue") if "revenue" in df.columns else F.sum(F.col("price").cast(MONEY_TYPE))
+    """Total revenue of a group (DOUBLE)."""
+    return money_total(*_money_parts(df))
 
 
 def _users_and_sessions(activity: DataFrame, keys: dict[str, Column], users: str, sessions: str) -> DataFrame:
@@ -72,10 +80,10 @@ def _stage_flags(activity: DataFrame, key: Column, key_name: str, stages: Sequen
 def fact_daily_activity(activity: DataFrame) -> DataFrame:
     """Grain event_date x event_type: events, distinct users/sessions, sum(price)."""
     per_session = activity.groupBy("event_date", "event_type", "user_id", "session_id").agg(
-        _events(activity).alias("_n"), _money(activity).alias("_p")
+        _events(activity).alias("_n"), *_money_parts(activity)
     )
     per_user = per_session.groupBy("event_date", "event_type", "user_id").agg(
-        F.sum("_n").alias("_n"), F.sum("_p").alias("_p"), F.count("session_id").alias("_ns")
+        F.sum("_n").alias("_n"), *_money_parts(per_session), F.count("session_id").alias("_ns")
     )
     return (
         per_user.groupBy("event_date", "event_type")
@@ -83,7 +91,7 @@ def fact_daily_activity(activity: DataFrame) -> DataFrame:
             F.sum("_n").alias("event_count"),
             F.count("user_id").alias("distinct_users"),
             F.sum("_ns").alias("distinct_sessions"),
-            F.sum("_p").cast("double").alias("sum_price"),
+            _money(per_user).alias("sum_price"),
         )
         .orderBy("event_date", "event_type")
     )
@@ -207,13 +215,9 @@ def mart_cvr(activity: DataFrame, visit: str = "view", buy: str = "purchase") ->
 def cvr_wow_calendar(activity: DataFrame, visit: str = "view", buy: str = "purchase") -> DataFrame:
     """As :func:`mart_cvr`, but compared with the calendar week before (NULL if empty)."""
     wk = _weekly_cvr(activity, visit, buy)
-    prev = wk.select(F.date_add("week_start", 7).alias("week_start"), F.col("cvr").alias("_prev_cvr"))
-    return (
-        wk.join(prev, "week_start", "left")
-        .withColumn("cvr_wow_delta", F.col("cvr") - F.col("_prev_cvr"))
-        .drop("_prev_cvr")
-        .orderBy("week_start")
-    )
+    rows = Window.orderBy("week_start")  # one row per week
+    adjacent = F.datediff("week_start", F.lag("week_start").over(rows)) == 7
+    return wk.withColumn("cvr_wow_delta", F.when(adjacent, F.col("cvr") - F.lag("cvr").over(rows))).orderBy("week_start")
 
 
 def mart_revenue(activity: DataFrame, buy: str = "purchase") -> DataFrame:
@@ -221,7 +225,7 @@ def mart_revenue(activity: DataFrame, buy: str = "purchase") -> DataFrame:
     return (
         activity.where(F.col("event_type") == buy)
         .groupBy(week_start("event_date").alias("week_start"))
-        .agg(_money(activity).cast("double").alias("revenue"), _events(activity).alias("purchases"))
+        .agg(_money(activity).alias("revenue"), _events(activity).alias("purchases"))
         .withColumn("aov", safe_div("revenue", "purchases"))
         .orderBy("week_start")
     )
@@ -232,11 +236,11 @@ def mart_arppu(activity: DataFrame, buy: str = "purchase") -> DataFrame:
     per_user = (
         activity.where(F.col("event_type") == buy)
         .groupBy(week_start("event_date").alias("week_start"), "user_id")
-        .agg(_money(activity).alias("_rev"))
+        .agg(*_money_parts(activity))
     )
     return (
         per_user.groupBy("week_start")
-        .agg(F.sum("_rev").cast("double").alias("revenue"), F.count("user_id").alias("buyers"))
+        .agg(_money(per_user).alias("revenue"), F.count("user_id").alias("buyers"))
         .withColumn("arppu", safe_div("revenue", "buyers"))
         .orderBy("week_start")
     )

@@ -6,8 +6,6 @@ they still run as Spark plans so nothing is pulled to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,17 +45,24 @@ def dau_dense(activity: DataFrame) -> DataFrame:
     )
 
 
-def retention_matrix(retention: DataFrame, offsets: Sequence[int] = tuple(range(9))) -> DataFrame:
-    """Cohort rows x offset columns ``w0..wN`` of retention rates (NULL if absent).
+def retention_matrix(retention: DataFrame) -> DataFrame:
+    """One row per cohort: ``rates`` is an array whose element k is the rate k
+    weeks after the cohort week (NULL if nobody came), up to the last week seen.
 
-    The offset list is explicit, so the pivot needs no extra job to find it."""
-    offsets = list(offsets)
-    return (
-        retention.groupBy("cohort_week", "cohort_users")
-        .pivot("week_offset", offsets)
-        .agg(F.first("retention_rate"))
-        .select("cohort_week", "cohort_users", *[F.col(str(o)).alias(f"w{o}") for o in offsets])
-        .orderBy("cohort_week")
+    An array holds as many offsets as the data have, and needs no job to find
+    them, unlike columns. A cohort has one cell per week, so arrays stay small."""
+    cells = retention.groupBy("cohort_week", "cohort_users").agg(
+        F.map_from_entries(F.collect_list(F.struct("week_offset", "retention_rate"))).alias("_m"),
+        F.max("week_offset").alias("_last"),
+    )
+    rates = F.transform(F.sequence(F.lit(0), F.col("_last")), lambda k: F.try_element_at(F.col("_m"), k))
+    return cells.select("cohort_week", "cohort_users", rates.alias("rates")).orderBy("cohort_week")
+
+
+def retention_cells(retention: DataFrame) -> DataFrame:
+    """The matrix as one row per cohort and offset, absent cells included."""
+    return retention_matrix(retention).select(
+        "cohort_week", "cohort_users", F.posexplode("rates").alias("week_offset", "retention_rate")
     )
 
 

@@ -16,8 +16,13 @@ NATURAL_KEY = ("user_id", "event_time", "event_type", "product_id")
 DEDUP_TIEBREAK = ("price", "brand", "category_id", "category_code", "user_session")
 # Funnel stage names in order.
 STAGES = ("view", "cart", "purchase")
-# Money is summed exactly, in cents, then reported as DOUBLE.
-MONEY_TYPE = "decimal(22,2)"
+# Money is summed as a decimal with more digits after the point than a price
+# has, then reported as DOUBLE.
+MONEY_TYPE = "decimal(38,18)"
+# A price at or beyond this (or NaN, or infinite) is not money: jobs quarantine it.
+PRICE_LIMIT = 1e12
+# Column in which the CSV reader keeps lines that do not fit the schema.
+CORRUPT_COLUMN = "_corrupt_record"
 # Readiness marker written last into every published date folder.
 SUCCESS_MARKER = "_SUCCESS"
 # ---------------------------------------------------------------------------
