@@ -151,9 +151,6 @@ def session_starts(
 # Users with more rows than this take the two-level path; the rest are
 # sessionized with one window per user (a sort group of at most this many rows).
 HOT_ROWS = 5_000_000
-# Largest hot-user list that is broadcast (about 16 bytes a key); beyond it
-# every user takes the two-level path and nothing is broadcast.
-MAX_HOT_KEYS = 1_000_000
 
 
 def sessionize(
@@ -166,21 +163,15 @@ def sessionize(
     seeds: DataFrame | None = None,
     source: DataFrame | None = None,
     hot_rows: int | None = HOT_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """Add ``session_id`` to every row.
+    """Add ``session_id`` to every row. Lazy: nothing runs here.
 
-    Hot users are split from the rest. Rows are counted per ``(*by, user)``
-    (map-side combined; on ``source`` when given, which has at least as many
-    rows per user, so the split stays conservative) and one small job checks
-    how many users exceed ``hot_rows``:
-
-    * none: one window per user (:func:`sessionize_window`), each sort group
-      at most ``hot_rows`` rows;
-    * up to ``max_hot_keys``: that list is broadcast; hot users take the
-      two-level path (:func:`sessionize_two_level`, sort groups bounded by
-      the bucket), all others one window per user;
-    * more: every user takes the two-level path, nothing is broadcast.
+    Rows are counted per ``(*by, user)`` inside the plan (map-side combined; on
+    ``source`` when given, which has at least as many rows per user). Users
+    above ``hot_rows`` take the two-level path, all others one window per
+    user; both give the same ids. There are at most rows / ``hot_rows`` hot
+    users (200,000 in 10**12 rows), which bounds the broadcast list; when it
+    comes out empty, AQE drops the two-level branch.
 
     ``hot_rows=None`` sends everyone through the two-level path. ``seeds``
     work on every path (see :func:`session_starts` and :func:`_window_seeded`).
@@ -196,13 +187,7 @@ def sessionize(
     base = df if source is None else source
     b_exprs, keys = encode_keys(base, [*by, user])
     counts = base.select(*b_exprs).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > F.lit(hot_rows)).select(*keys)
-    n_hot = hot.count()  # the size check behind the broadcast below
-    if n_hot == 0:
-        return _window_seeded(df, seeds, gap_seconds, by, user, time_col)
-    if n_hot > max_hot_keys:
-        return sessionize_two_level(df, gap_seconds, by, user, time_col, bucket_seconds, seeds, source)
-    hot = F.broadcast(hot)
+    hot = F.broadcast(counts.where(F.col("_n") > F.lit(hot_rows)).select(*keys))
     exprs, _ = encode_keys(df, [*by, user])
     enc = df.select("*", *exprs)
     cold_part = enc.join(hot, keys, "left_anti").drop(*keys)
@@ -267,22 +252,20 @@ def sessionize_window(
     time_col: str = "event_time_utc",
     start_hint: str | None = None,
 ) -> DataFrame:
-    """Single window per user: lag -> flag -> running sum -> min per session.
+    """One window per user: a row's session start is the latest opening second
+    up to it, a running maximum over the one sort.
 
-    One sort group per user: used for users below the hot threshold.
     ``start_hint``: optional column of epoch seconds that stands in for a
-    row's own second when taking the session start (seed pseudo-events)."""
+    row's own second as the start it opens (seed pseudo-events)."""
     order = [F.col(time_col)] + [F.col(c) for c in ("event_type", "product_id") if c in df.columns]
     w = Window.partitionBy(*by, user).orderBy(*order)
-    prev = F.lag(time_col).over(w)
-    gap = epoch_seconds(time_col) - epoch_seconds(prev)
-    flagged = df.withColumn(
-        "_is_new", F.when(prev.isNull() | (gap >= F.lit(gap_seconds)), 1).otherwise(0)
-    ).withColumn("_seq", F.sum("_is_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     own = epoch_seconds(time_col)
-    first = F.coalesce(F.col(start_hint), own) if start_hint else own
-    start = F.min(first).over(Window.partitionBy(*by, user, "_seq"))
-    return flagged.withColumn("session_id", session_id_col(F.col(user), start)).drop("_is_new", "_seq")
+    before = F.lag(own).over(w)
+    opens = before.isNull() | (own - before >= F.lit(gap_seconds))
+    second = F.coalesce(F.col(start_hint), own) if start_hint else own
+    opened = df.withColumn("_opened", F.when(opens, second))
+    start = F.max("_opened").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return opened.withColumn("session_id", session_id_col(F.col(user), start)).drop("_opened")
 
 
 # --------------------------------------------------------------------------- analyses

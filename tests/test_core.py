@@ -29,9 +29,9 @@ def _sessions(spark, times, user=1, gap=300):
 
 
 def test_local_date_crosses_midnight(spark):
-    df = with_local_time(raw_rows(spark, [ev("2019-10-01 00:00:00"), ev("2019-10-31 16:00:00")]))
+    df = with_local_time(raw_rows(spark, [ev("2020-02-28 14:59:59"), ev("2020-02-28 15:00:00"), ev("2020-12-31 20:30:00")]))
     got = sorted(r.event_date for r in df.collect())
-    assert got == ["2019-10-01", "2019-11-01"]
+    assert got == ["2020-02-28", "2020-02-29", "2021-01-01"]
 
 
 def test_malformed_time_is_quarantined_not_fatal(spark):
@@ -53,14 +53,14 @@ def test_dedup_keeps_lowest_price(spark):
     df = raw_rows(
         spark,
         [
-            ev("2019-10-01 00:00:00", product=100, price=9.0),
-            ev("2019-10-01 00:00:00", product=100, price=7.0),
-            ev("2019-10-01 00:01:00", product=100, price=7.0),
+            ev("2020-05-04 08:15:30", product=31, price=12.4),
+            ev("2020-05-04 08:15:30", product=31, price=12.39),
+            ev("2020-05-04 08:15:30", product=31, price=40.0),
+            ev("2020-05-04 08:15:31", product=31, price=40.0),
         ],
     )
     out = dedup_events(df).orderBy("event_time").collect()
-    assert len(out) == 2
-    assert out[0].price == 7.0
+    assert [r.price for r in out] == [12.39, 40.0]
 
 
 def test_dedup_nulls_last_and_identical_rows(spark):
@@ -106,14 +106,14 @@ def test_gap_boundaries(spark):
     def n(times):
         return _sessions(spark, times).select("session_id").distinct().count()
 
-    assert n(["00:00:00", "00:05:00"]) == 2
-    assert n(["00:00:00", "00:04:59"]) == 1
-    assert n(["00:00:00", "00:00:00"]) == 1
-    assert n(["00:00:00"]) == 1
+    assert n(["07:21:10", "07:26:10"]) == 2  # exactly the gap
+    assert n(["07:21:10", "07:26:09"]) == 1  # one second short of it
+    assert n(["07:21:10", "07:21:10"]) == 1
+    assert n(["07:21:10"]) == 1
 
 
 def test_session_over_local_midnight_keeps_one_id(spark):
-    s = _sessions(spark, ["14:58:00", "15:01:00"])
+    s = _sessions(spark, ["14:57:40", "15:02:05"])
     rows = s.collect()
     assert len({r.session_id for r in rows}) == 1
     assert sorted(r.event_date for r in rows) == ["2019-10-01", "2019-10-02"]
@@ -121,8 +121,8 @@ def test_session_over_local_midnight_keeps_one_id(spark):
 
 
 def test_session_id_is_user_and_start(spark):
-    ids = {r.session_id for r in _sessions(spark, ["00:00:00", "00:02:00"]).collect()}
-    assert ids == {"1_1569888000"}
+    ids = {r.session_id for r in _sessions(spark, ["03:04:05", "03:08:00"], user=23).collect()}
+    assert ids == {"23_1569899045"}
 
 
 def test_same_second_ties_are_order_free(spark):
@@ -191,10 +191,10 @@ def test_transform_pipeline(spark):
     df = raw_rows(
         spark,
         [
-            ev("2019-10-01 00:00:00", product=100, session="us-1"),
-            ev("2019-10-01 00:00:00", product=100, session="us-1"),
-            ev("2019-10-01 00:03:00", product=101, session="us-1"),
-            ev("2019-10-01 00:10:00", product=102, session="us-2"),
+            ev("2020-06-07 11:00:20", product=8, session="m"),
+            ev("2020-06-07 11:00:20", product=8, session="m"),
+            ev("2020-06-07 11:03:20", product=9, session="m"),
+            ev("2020-06-07 11:09:01", product=8, session="n"),
         ],
     ).select("event_time", "event_type", "product_id", "user_id", "user_session")
     out = transform(df)
@@ -283,9 +283,9 @@ def test_hot_user_third_of_rows(spark):
     df = hot.unionByName(cold).select("user_id", F.timestamp_seconds("s").alias("event_time_utc"), F.lit("view").alias(
         "event_type"), F.lit(1).cast("long").alias("product_id")).dropDuplicates()
     b = sessionize_window(df, 300)
-    # user 0 hot, the rest cold; too many hot users for the broadcast; everyone two-level
-    for hot_rows, max_keys in ((10_000, 1_000_000), (10, 5), (None, 0)):
-        a = sessionize(df, 300, hot_rows=hot_rows, max_hot_keys=max_keys)
+    # user 0 hot, the rest cold; all hot; everyone two-level
+    for hot_rows in (10_000, 10, None):
+        a = sessionize(df, 300, hot_rows=hot_rows)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, hot_rows
 
 
