@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.timecols import parse_utc
+from cadence.functions.timecols import odd_price, parse_utc
+from cadence.schema import CORRUPT_COLUMN
 
 
 def partition_quality(
@@ -27,9 +28,9 @@ def partition_quality(
     )
     ok = (F.col("rows") > 0) & (F.col("null_key_rows") == 0)
     msg = (
-        F.when(F.col("rows") <= 0, F.lit("row count is 0"))
-        .when(F.col("null_key_rows") > 0, F.concat(F.lit("null key rows="), F.col("null_key_rows").cast("string")))
-        .otherwise(F.concat(F.lit("ok rows="), F.col("rows").cast("string")))
+        F.when(F.col("rows") <= 0, F.lit("no rows"))
+        .when(F.col("null_key_rows") > 0, F.concat(F.col("null_key_rows").cast("string"), F.lit(" rows without a key")))
+        .otherwise(F.concat(F.col("rows").cast("string"), F.lit(" rows, all with a key")))
     )
     return q.select(date_col, "rows", "null_key_rows", ok.alias("ok"), msg.alias("message"))
 
@@ -53,39 +54,53 @@ def multiset_diff(left: DataFrame, right: DataFrame, by: str = "event_date") ->
     """Two-way ``EXCEPT ALL`` counted per ``by``: rows on each side and rows only on each side.
 
     Every ``by`` value of either side gets a row (0 where equal)."""
-    cols = [c for c in left.columns]
-    right = right.select(*cols)
-    only_l = left.exceptAll(right).groupBy(by).agg(F.count(F.lit(1)).alias("only_left"))
-    only_r = right.exceptAll(left).groupBy(by).agg(F.count(F.lit(1)).alias("only_right"))
-    n_l = left.groupBy(by).agg(F.count(F.lit(1)).alias("left_rows"))
-    n_r = right.groupBy(by).agg(F.count(F.lit(1)).alias("right_rows"))
-    out = n_l.join(n_r, by, "full").join(only_l, by, "left").join(only_r, by, "left")
-    return out.select(
-        by,
-        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("left_rows", "right_rows", "only_left", "only_right")],
-    ).orderBy(by)
+    cols = left.columns
+    sides = lambda l, r: (F.lit(l).alias("_l"), F.lit(r).alias("_r"))
+    both = left.select(*cols, *sides(1, 0)).unionByName(right.select(*cols, *sides(0, 1)))
+    each = both.groupBy(*cols).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    return (
+        each.groupBy(by)
+        .agg(
+            F.sum("_l").alias("left_rows"),
+            F.sum("_r").alias("right_rows"),
+            F.sum(F.greatest(F.col("_l") - F.col("_r"), F.lit(0))).alias("only_left"),
+            F.sum(F.greatest(F.col("_r") - F.col("_l"), F.lit(0))).alias("only_right"),
+        )
+        .orderBy(by)
+    )
 
 
-def split_valid_invalid(
-    raw: DataFrame, time_col: str = "event_time", quarantine_null_keys: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """Rows to transform vs quarantined rows with a ``reason``.
+def with_reason(raw: DataFrame, time_col: str = "event_time", quarantine_null_keys: bool = False) -> DataFrame:
+    """Add ``reason``: why a row cannot be used (NULL: it can).
 
-    Malformed time text is quarantined instead of failing the job (the parse
-    is ``try_to_timestamp``). Rows with a NULL time or user stay in by
-    default, so the gate fails their date (``null key rows=N``); with
-    ``quarantine_null_keys`` they are quarantined too.
+    Checked in this order: a line that does not fit the schema (where the
+    reader kept it), time text that is no time, a price that is no amount of
+    money, and with ``quarantine_null_keys`` a NULL time or user. Without it
+    rows with a NULL key stay in, and the gate fails their date.
     """
     parsed = parse_utc(time_col)
     reason = F.when(F.col(time_col).isNotNull() & parsed.isNull(), F.lit("unparseable event_time"))
+    if CORRUPT_COLUMN in raw.columns:
+        reason = F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit("unreadable line")).otherwise(reason)
+    if "price" in raw.columns:
+        reason = F.coalesce(reason, F.when(odd_price("price"), F.lit("price out of range")))
     if quarantine_null_keys:
-        reason = reason.when(F.col(time_col).isNull(), F.lit("null event_time")).when(
-            F.col("user_id").isNull(), F.lit("null user_id")
+        reason = F.coalesce(
+            reason,
+            F.when(F.col(time_col).isNull(), F.lit("null event_time")).when(F.col("user_id").isNull(), F.lit("null user_id")),
         )
-    tagged = raw.withColumn("_reason", reason)
-    valid = tagged.where(F.col("_reason").isNull()).drop("_reason")
-    invalid = tagged.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
-    return valid, invalid
+    return raw.withColumn("reason", reason)
+
+
+def split_valid_invalid(
+    raw: DataFrame, time_col: str = "event_time", quarantine_null_keys: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Rows to transform vs quarantined rows with a ``reason``.
+
+    See :func:`with_reason`; works on streams too.
+    """
+    tagged = with_reason(raw, time_col, quarantine_null_keys)
+    return tagged.where(F.col("reason").isNull()).drop("reason"), tagged.where(F.col("reason").isNotNull())
 
 
 def quarantine_counts(raw: DataFrame, time_col: str = "event_time") -> DataFrame:

@@ -22,11 +22,15 @@ def ensure_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables and checkpoints.
 
-    Taken from ``spark.checkpoint.dir`` (the cluster's shared folder). It is
-    an error to have none: a machine-local folder would not survive the loss
-    of the executor that wrote it.
+    Taken from ``spark.checkpoint.dir`` (the cluster's shared folder). On a
+    cluster it is an error to have none: a machine-local folder would not
+    survive the loss of the executor that wrote it. A session of one machine
+    (tests) gets a temporary one.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path and spark.sparkContext.master.split("[")[0] == "local":
+        path = tempfile.mkdtemp(prefix="cadence-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", path)
     if not path:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     return path

@@ -8,11 +8,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from cadence.schema import ACTIVITY, RAW, SUCCESS_MARKER
+from cadence.schema import ACTIVITY, CORRUPT_COLUMN, RAW, SUCCESS_MARKER
 from cadence.sinks import fs
 
-CORRUPT_COLUMN = "_corrupt_record"
-
 
 def _paths(paths: str | Iterable[str]) -> list[str]:
     if isinstance(paths, str):
@@ -35,15 +33,14 @@ def read_events(spark: SparkSession, paths: str | Iterable[str], keep_corrupt: b
     return reader.csv(_paths(paths))
 
 
-def day_paths(spark: SparkSession, root: str, run_date: str, lookback_days: int = 1) -> list[str]:
-    """Existing ``root/event_date=D`` folders for D in [run_date - lookback, run_date]."""
-    d = dt.date.fromisoformat(run_date)
-    out = []
-    for k in range(lookback_days, -1, -1):
-        p = f"{root}/event_date={(d - dt.timedelta(days=k)).isoformat()}"
-        if fs.exists(spark, p):
-            out.append(p)
-    return out
+def day_paths(spark: SparkSession, root: str, run_date: str, lookback_days: int | None = 1) -> list[str]:
+    """Existing ``root/event_date=D`` folders for D in [run_date - lookback, run_date],
+    in order of date (``None``: all up to ``run_date``); one listing."""
+    first = ""
+    if lookback_days is not None:
+        first = (dt.date.fromisoformat(run_date) - dt.timedelta(days=lookback_days)).isoformat()
+    days = [n.split("=", 1)[1] for n in fs.list_dirs(spark, root) if n.startswith("event_date=")]
+    return [f"{root}/event_date={d}" for d in sorted(days) if first <= d <= run_date]
 
 
 def read_days(spark: SparkSession, root: str, run_date: str, lookback_days: int = 1) -> DataFrame:

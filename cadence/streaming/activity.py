@@ -6,12 +6,12 @@
   (same sessions as the batch rule when nothing is later than the watermark).
 * :func:`stream_session_starts` - ``(user, second) -> session start`` with
   per-user state bounded by the watermark delay in seconds (skew-safe).
-* :func:`stream_session_ids` - every event with its batch-identical session
-  id, from a per-user state that holds events until the watermark passes
-  them (no event can then arrive before them, so the order is final).
+* :func:`attach_sessions` - every event of a batch with its session id, by an
+  equi-join with those starts (in ``foreachBatch``, or on landed rows).
+* :func:`unreadable` - the rows that the above leave out, for a quarantine sink.
 * :func:`stream_daily_fact` - per local day and event type: counts, revenue
-  and approximate distinct users/sessions (exact distinct is not available
-  on streams).
+  and approximate distinct users (exact distinct is not available on streams;
+  sessions per day come from :func:`stream_sessions` or the published dates).
 * :func:`publish_stream` - ``foreachBatch`` sink: lands each micro-batch
   under its epoch id (idempotent on replay) and re-publishes every affected
   date, and the dates after it, through the batch gate and swap.
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from cadence.functions.timecols import with_local_time
+from cadence.functions.timecols import money_sum, with_local_time
+from cadence.operators.quality import with_reason
 from cadence.operators.sessions import session_id_col
 from cadence.schema import LOCAL_ZONE, NATURAL_KEY, RAW, RAW_COLUMNS, SESSION_GAP_SECONDS
 
@@ -76,97 +77,6 @@ def stream_sessions(
     )
 
 
-_STATE = T.StructType(
-    [
-        T.StructField("last_s", T.LongType()),
-        T.StructField("start_s", T.LongType()),
-        T.StructField("pending_us", T.ArrayType(T.LongType())),
-        T.StructField("pending_row", T.ArrayType(T.StringType())),
-    ]
-)
-_OUT = T.StructType(
-    [
-        T.StructField("user_id", T.LongType()),
-        T.StructField("_row", T.StringType()),
-        T.StructField("_start", T.LongType()),
-    ]
-)
-
-
-def _assign_ids(gap_seconds: int):
-    """Per-user state function: order held events once the watermark passes
-    them, continue the last session, emit ``(user, row, start second)``."""
-
-    def fn(key: tuple[Any, ...], pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (user,) = key
-        last_s = start_s = None
-        us: list[int] = []
-        rows: list[str] = []
-        if state.exists:
-            last_s, start_s, p_us, p_rows = state.get
-            us, rows = list(p_us), list(p_rows)
-        for pdf in pdfs:
-            us.extend(int(x) for x in pdf["_us"])
-            rows.extend(pdf["_row"])
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        order = sorted(range(len(us)), key=lambda i: us[i])
-        out_rows, out_start, keep_us, keep_rows = [], [], [], []
-        for i in order:
-            if us[i] > wm_us:
-                keep_us.append(us[i])
-                keep_rows.append(rows[i])
-                continue
-            s = us[i] // 1_000_000
-            if last_s is None or s - last_s >= gap_seconds:
-                start_s = s
-            last_s = s if last_s is None else max(last_s, s)
-            out_rows.append(rows[i])
-            out_start.append(start_s)
-        if keep_us:
-            state.update((last_s, start_s, keep_us, keep_rows))
-            state.setTimeoutTimestamp(max(keep_us[0] // 1000, state.getCurrentWatermarkMs() + 1))
-        elif last_s is not None and wm_us // 1_000_000 < last_s + gap_seconds:
-            # the session may still continue: keep it until the watermark passes the gap
-            state.update((last_s, start_s, [], []))
-            state.setTimeoutTimestamp((last_s + gap_seconds) * 1000)
-        else:
-            state.remove()
-        if out_rows:
-            yield pd.DataFrame({"user_id": [user] * len(out_rows), "_row": out_rows, "_start": out_start})
-
-    return fn
-
-
-def stream_session_ids(
-    stream: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS, delay: str = "10 minutes", zone: str = LOCAL_ZONE
-) -> DataFrame:
-    """Every event (not later than the watermark) with its session id.
-
-    State per user: last event second and session start, plus the user's
-    events not yet below the watermark, i.e. (event rate x delay) rows for
-    one key. The JVM packs each row as JSON text; Python only orders longs
-    and carries strings. For users with very high event rates use
-    :func:`stream_session_starts` (state bounded by the delay in seconds)."""
-    timed = with_local_time(stream, zone).where(F.col("event_time_utc").isNotNull())
-    payload = [c for c in timed.columns if c != "user_id"]
-    schema = T.StructType([f for f in timed.schema.fields if f.name in payload])
-    packed = timed.withWatermark("event_time_utc", delay).select(
-        "user_id",
-        "event_time_utc",
-        F.unix_micros("event_time_utc").alias("_us"),
-        F.to_json(F.struct(*payload)).alias("_row"),
-    )
-    out = packed.groupBy("user_id").applyInPandasWithState(
-        _assign_ids(gap_seconds), _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
-    unpacked = out.select("user_id", F.from_json("_row", schema).alias("r"), "_start")
-    return unpacked.select(
-        *[F.col(f"r.{c}").alias(c) for c in payload],
-        "user_id",
-        session_id_col(F.col("user_id"), F.col("_start")).alias("session_id"),
-    )
-
-
 _SEC_STATE = T.StructType(
     [
         T.StructField("last_s", T.LongType()),
@@ -242,6 +152,21 @@ def stream_session_starts(
     return out.withColumn("session_id", session_id_col(F.col("user_id"), F.col("session_start")))
 
 
+def attach_sessions(events: DataFrame, starts: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
+    """Batch: raw events with times and the session id of their second.
+
+    ``starts``: rows of :func:`stream_session_starts`. A hot user's events are
+    spread over the seconds. Events without a start yet (not below the
+    watermark, or without a time) get a NULL id."""
+    timed = with_local_time(events, zone).withColumn("second", F.unix_timestamp("event_time_utc"))
+    return timed.join(starts.select("user_id", "second", "session_id"), ["user_id", "second"], "left").drop("second")
+
+
+def unreadable(stream: DataFrame) -> DataFrame:
+    """Rows of a stream (or batch) that have no usable time or price, with a reason."""
+    return with_reason(stream, quarantine_null_keys=True).where(F.col("reason").isNotNull())
+
+
 def stream_daily_fact(
     stream: DataFrame, delay: str = "1 hour", zone: str = LOCAL_ZONE, rsd: float = 0.01
 ) -> DataFrame:
@@ -253,7 +178,7 @@ def stream_daily_fact(
         .agg(
             F.count(F.lit(1)).alias("event_count"),
             F.approx_count_distinct("user_id", rsd).alias("approx_users"),
-            F.sum(F.col("price").cast("decimal(22,2)")).cast("double").alias("sum_price"),
+            money_sum("price").alias("sum_price"),
         )
     )
     return agg.select(F.date_format("_d.start", "yyyy-MM-dd").alias("event_date"), "event_type", "event_count",
@@ -271,41 +196,45 @@ def publish_stream(
 ):
     """Land raw micro-batches and keep the published silver dates complete.
 
-    Each epoch writes ``landing/_epoch=N/event_date=D`` (overwrite, so a
-    replayed epoch lands the same files once). Every date touched by the
-    batch - and each later date already published, whose seeds may change -
-    is recomputed from all its landed rows and re-published in date order.
-    Rows whose time cannot be read have no date and are not landed.
+    Each epoch writes ``landing/event_date=D/_epoch=N`` (it replaces just its
+    own folders, so a replayed epoch lands the same files once). Every date
+    touched by the batch - and each later date already published, whose seeds
+    may change - is recomputed from the rows landed in its own folder and
+    re-published in date order. Rows whose time or price cannot be read have no
+    place there; they are kept in ``landing/_quarantine/_epoch=N`` with a reason.
     """
-    from cadence.plans.pipeline import transform
+    from cadence.operators.quality import multiset_diff
     from cadence.plans.jobs import seeds_from_published
+    from cadence.plans.pipeline import transform
     from cadence.sinks.publish import publish_silver
     from cadence.sources.files import committed_dates, read_committed
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        timed = with_local_time(batch, zone).where(F.col("event_date").isNotNull())
+        tagged = with_reason(batch, quarantine_null_keys=True)
+        timed = with_local_time(tagged, zone).withColumn("_epoch", F.lit(epoch_id))
+        bad = timed.where(F.col("reason").isNotNull())
+        bad.select(*RAW_COLUMNS, "reason").write.mode("overwrite").parquet(f"{landing}/_quarantine/_epoch={epoch_id}")
+        good = timed.where(F.col("reason").isNull())
+        (
+            good.select(*RAW_COLUMNS, "event_date", "_epoch").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "_epoch").parquet(landing)
+        )
         # the dates of one micro-batch: a handful of rows
-        touched = sorted(r.event_date for r in timed.select("event_date").distinct().collect())
+        touched = sorted(r.event_date for r in good.select("event_date").distinct().collect())
         if not touched:
             return
-        timed.select(*RAW_COLUMNS, "event_date").write.mode("overwrite").partitionBy("event_date").parquet(
-            f"{landing}/_epoch={epoch_id}"
-        )
         later = [d for d in committed_dates(spark, output) if d > touched[0] and d not in touched]
-        landed = spark.read.option("basePath", landing).schema(
-            T.StructType(RAW.fields + [T.StructField("_epoch", T.LongType()), T.StructField("event_date", T.StringType())])
-        ).parquet(landing)
         for d in sorted(set(touched) | set(later)):
-            raw = landed.where(F.col("event_date") == d).select(*RAW_COLUMNS)
+            raw = spark.read.schema(RAW).parquet(f"{landing}/event_date={d}")
             seeds = seeds_from_published(spark, output, d, gap_seconds)
             silver = transform(raw, zone, gap_seconds, seeds=seeds).where(F.col("event_date") == d)
             if d not in touched and d > touched[-1]:
                 # A later date depends on earlier ones only through the
                 # published state it is seeded from: once one comes out
                 # unchanged, every date after it is unchanged too.
-                old = read_committed(spark, output, [d]).select(*silver.columns)
-                if silver.exceptAll(old).isEmpty() and old.exceptAll(silver).isEmpty():
+                old = read_committed(spark, output, [d])
+                if multiset_diff(old, silver.select(*old.columns)).where("only_left + only_right > 0").isEmpty():
                     break
             publish_silver(spark, silver, output, [d])
 

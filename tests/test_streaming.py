@@ -13,11 +13,11 @@ from cadence.operators.sessions import sessionize
 from cadence.plans.pipeline import transform
 from cadence.sources.files import read_committed
 from cadence.streaming.activity import (
+    attach_sessions,
     publish_stream,
     read_event_stream,
     stream_daily_fact,
     stream_dedup,
-    stream_session_ids,
     stream_session_starts,
     stream_sessions,
 )
@@ -63,9 +63,10 @@ def _flushed(spark, tmp_dir, rows):
     return read_event_stream(spark, f"{tmp_dir}/in/*", max_files_per_trigger=1)
 
 
-def test_stream_session_ids_equal_batch(spark, tmp_dir):
+def test_attached_session_ids_equal_batch(spark, tmp_dir):
     rows = _rows()
-    out = _drain(stream_session_ids(_flushed(spark, tmp_dir, rows)), tmp_dir)
+    starts = _drain(stream_session_starts(_flushed(spark, tmp_dir, rows)), tmp_dir)
+    out = attach_sessions(raw_rows(spark, rows), starts)
     batch = sessionize(with_local_time(raw_rows(spark, rows)))
     got = {(r.user_id, r.product_id): r.session_id for r in out.where("user_id <> 99").collect()}
     want = {(r.user_id, r.product_id): r.session_id for r in batch.collect()}
@@ -101,15 +102,18 @@ def test_stream_daily_fact(spark, tmp_dir):
 
 def test_publish_stream_equals_backfill(spark, tmp_dir):
     rows = _rows()
+    bad = [ev("never", user=5), ev(None, user=6), ev("2019-10-01 14:00:00", user=None)]
     half = len(rows) // 2
     _write(spark, rows[:half], f"{tmp_dir}/in/a")
-    _write(spark, rows[half:], f"{tmp_dir}/in/b")
+    _write(spark, rows[half:] + bad, f"{tmp_dir}/in/b")
     stream = read_event_stream(spark, f"{tmp_dir}/in/*", max_files_per_trigger=1)
     q = publish_stream(stream, f"{tmp_dir}/landing", f"{tmp_dir}/silver", f"{tmp_dir}/ckpt")
     q.awaitTermination()
     published = read_committed(spark, f"{tmp_dir}/silver")
     backfill = transform(raw_rows(spark, rows)).select(*published.columns)
     assert published.exceptAll(backfill).count() == 0 and backfill.exceptAll(published).count() == 0
+    kept = spark.read.parquet(f"{tmp_dir}/landing/_quarantine").collect()
+    assert sorted(r.reason for r in kept) == ["null event_time", "null user_id", "unparseable event_time"]
 
 
 def test_stream_session_starts_equal_batch(spark, tmp_dir):
