@@ -11,32 +11,48 @@ GAP = 300
 FMT = "%Y-%m-%d %H:%M:%S UTC"
 RAW_COLS = "event_time, event_type, product_id, category_id, category_code, brand, price, user_id, user_session"
 SILVER_COLS = RAW_COLS + ", event_time_utc, event_time_kst, event_date, session_id"
-MONEY = "DECIMAL(22,2)"
 WEEK = "CAST(date_trunc('week', CAST(event_date AS DATE)) AS DATE)"
 MONTH = "strftime(CAST(event_date AS DATE), '%Y-%m')"
 
 
-def _raw() -> str:
+def _raw(ts: str = "ts") -> str:
+    """Numbered raw rows and, without the number, ``raw``. ``ts``: the event's time."""
     return f"""
+numbered AS (
+  SELECT *, CAST(CASE WHEN event_id % 5 = 0 THEN 0 ELSE user_id END AS BIGINT) AS u, {ts} AS t FROM events
+),
 raw0 AS (
-  SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') || ' UTC' AS event_time,
+  SELECT event_id, strftime(t, '%Y-%m-%d %H:%M:%S') || ' UTC' AS event_time,
          CASE WHEN event_type = 'click' THEN 'cart' ELSE event_type END AS event_type,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id,
-         CAST(NULL AS BIGINT) AS category_id,
+         CAST(event_id % 9 AS BIGINT) AS category_id,
          CAST(NULL AS VARCHAR) AS category_code,
-         CAST(NULL AS VARCHAR) AS brand,
-         value AS price,
-         user_id,
-         CAST(NULL AS VARCHAR) AS user_session
-  FROM events
+         'b' || (event_id % 4) AS brand,
+         value + (event_id % 7) * CAST(0.0013 AS DOUBLE) AS price,
+         u AS user_id,
+         u || '-' || CAST(floor(floor(epoch(t)) / 5400) AS BIGINT) AS user_session
+  FROM numbered
 ),
-raw AS (
-  SELECT {RAW_COLS} FROM raw0
+lines AS (
+  SELECT * FROM raw0
   UNION ALL
-  SELECT event_time, event_type, product_id, category_id, category_code, brand,
-         CASE WHEN event_type = 'purchase' THEN abs(price - 20.0) END AS price, user_id, user_session
+  SELECT * REPLACE (CASE WHEN event_type = 'purchase' THEN abs(price - CAST(20.0 AS DOUBLE)) END AS price)
   FROM raw0 WHERE event_type IN ('purchase', 'error')
-)"""
+  UNION ALL SELECT * FROM raw0 WHERE event_id % 11 = 0
+  UNION ALL SELECT * REPLACE ('a0' AS brand) FROM raw0 WHERE event_id % 13 = 0
+),
+raw AS (SELECT {RAW_COLS} FROM lines)"""
+
+
+GAPS = (
+    "ts + INTERVAL 1 DAY * CASE WHEN ts >= '2024-01-30' THEN 100 WHEN ts >= '2024-01-27' THEN 45 "
+    "WHEN ts >= '2024-01-12' THEN 18 ELSE 0 END"
+)
+FOLDED = "TIMESTAMP '2024-03-01' + INTERVAL 1 SECOND * (CAST(floor(epoch(ts)) AS BIGINT) % 432000)"
+# the reason why a line of the spoilt text cannot be used
+REASON = """CASE WHEN event_id % 113 = 0 THEN 'unreadable line' WHEN event_id % 101 = 0 THEN 'unparseable event_time'
+  WHEN event_id % 109 = 0 THEN 'price out of range' WHEN event_id % 103 = 0 THEN 'null event_time'
+  WHEN event_id % 107 = 0 THEN 'null user_id' END"""
 
 
 def _silver(p: str = "", gap: int = GAP, lookback: int | None = None) -> str:
@@ -96,8 +112,8 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip().rstrip(",") for c in ctes if c.strip())
 
 
-def _on_silver(body: str, gap: int = GAP) -> str:
-    return _with(_raw(), _silver("", gap)) + "\n" + body
+def _on_silver(body: str, gap: int = GAP, ts: str = "ts") -> str:
+    return _with(_raw(ts), _silver("", gap)) + "\n" + body
 
 
 def _ts(c: str) -> str:
@@ -110,7 +126,7 @@ def _ts(c: str) -> str:
 def _fact(a: str = "activity") -> str:
     return f"""SELECT event_date, event_type, count(*) AS event_count,
        count(DISTINCT user_id) AS distinct_users, count(DISTINCT session_id) AS distinct_sessions,
-       CAST(sum(CAST(price AS {MONEY})) AS DOUBLE) AS sum_price
+       round(fsum(price), 6) AS sum_price
 FROM {a} GROUP BY event_date, event_type"""
 
 
@@ -161,14 +177,14 @@ def _cvr_weeks(a: str = "activity") -> str:
 
 
 def _revenue(a: str = "activity") -> str:
-    return f"""SELECT week_start, revenue, purchases, revenue / nullif(purchases, 0) AS aov FROM (
-  SELECT {WEEK} AS week_start, CAST(sum(CAST(price AS {MONEY})) AS DOUBLE) AS revenue, count(*) AS purchases
+    return f"""SELECT week_start, round(total, 6) AS revenue, purchases, round(total / nullif(purchases, 0), 6) AS aov FROM (
+  SELECT {WEEK} AS week_start, fsum(price) AS total, count(*) AS purchases
   FROM {a} WHERE event_type = 'purchase' GROUP BY 1)"""
 
 
 def _arppu(a: str = "activity") -> str:
-    return f"""SELECT week_start, revenue, buyers, revenue / nullif(buyers, 0) AS arppu FROM (
-  SELECT {WEEK} AS week_start, CAST(sum(CAST(price AS {MONEY})) AS DOUBLE) AS revenue,
+    return f"""SELECT week_start, round(total, 6) AS revenue, buyers, round(total / nullif(buyers, 0), 6) AS arppu FROM (
+  SELECT {WEEK} AS week_start, fsum(price) AS total,
          count(DISTINCT user_id) AS buyers
   FROM {a} WHERE event_type = 'purchase' GROUP BY 1)"""
 
@@ -188,6 +204,39 @@ SELECT cohort_week, week_offset, active_users, {size} AS cohort_users,
 FROM cells) retention"""
 
 
+def _retention_cells(a: str = "activity") -> str:
+    return f"""SELECT c.cohort_week, c.cohort_users, CAST(c.k AS INTEGER) AS week_offset, r.retention_rate
+FROM (SELECT cohort_week, cohort_users, unnest(range(0, max(week_offset) + 1)) AS k FROM ({_retention(a)}) x GROUP BY 1, 2) c
+LEFT JOIN ({_retention(a)}) r ON r.cohort_week = c.cohort_week AND r.week_offset = c.k"""
+
+
+def _payload() -> str:
+    """Every mart as (table, row_key, field, number, text)."""
+    tables = {
+        "dim_date": (_dim_date(), "concat_ws('|', date_key, month, date)"),
+        "fact_daily_activity": (_fact(), "concat_ws('|', event_date, event_type)"),
+        "mart_dau": (_dau(), "event_date"),
+        "mart_wau": (_wau(), "CAST(week_start AS VARCHAR)"),
+        "mart_mau": (f"SELECT {MONTH} AS month, count(DISTINCT user_id) AS mau_users FROM activity GROUP BY 1", "month"),
+        "mart_stickiness": (_stickiness(), "CAST(date AS VARCHAR)"),
+        "mart_funnel": (_funnel(), "CAST(week_start AS VARCHAR)"),
+        "mart_cvr": (
+            f"SELECT *, cvr - lag(cvr) OVER (ORDER BY week_start) AS cvr_wow_delta FROM ({_cvr_weeks()}) w",
+            "CAST(week_start AS VARCHAR)",
+        ),
+        "mart_revenue": (_revenue(), "CAST(week_start AS VARCHAR)"),
+        "mart_retention": (_retention(), "concat_ws('|', cohort_week, week_offset)"),
+    }
+    parts = [
+        f"""SELECT '{name}' AS "table", row_key, field, value FROM (
+  SELECT CAST({key} AS VARCHAR) AS row_key, CAST(COLUMNS(*) AS VARCHAR) FROM ({sql}) m
+) UNPIVOT INCLUDE NULLS (value FOR field IN (COLUMNS(* EXCLUDE (row_key))))"""
+        for name, (sql, key) in tables.items()
+    ]
+    return f"""SELECT "table", row_key, field, round(try_cast(value AS DOUBLE), 6) AS number,
+       CASE WHEN try_cast(value AS DOUBLE) IS NULL THEN value END AS text FROM ({" UNION ALL ".join(parts)}) p"""
+
+
 ORDERS_ACTIVITY = """orders_activity AS (
   SELECT o_custkey AS user_id, 'o-' || CAST(o_orderkey AS VARCHAR) AS session_id, 'purchase' AS event_type,
          o_totalprice AS price, strftime(o_orderdate, '%Y-%m-%d') AS event_date
@@ -211,7 +260,7 @@ LEFT JOIN oi ON oi.event_date = coalesce(nb.event_date, ni.event_date)"""
 
 def _session_audit(gap: int = GAP) -> str:
     return _on_silver(f"""
-, base AS (SELECT user_id, CAST(user_id AS VARCHAR) || '-' || event_date AS us,
+, base AS (SELECT user_id, user_session AS us,
                   CAST(floor(epoch(event_time_utc)) AS BIGINT) AS s
            FROM activity WHERE event_time_utc IS NOT NULL)
 , sg AS (SELECT user_id, us, s, s - lag(s) OVER (PARTITION BY user_id, us ORDER BY s) AS g
@@ -277,29 +326,36 @@ FROM raw GROUP BY 1"""
 SELECT {RAW_COLS}, {_ts('event_time_utc')} AS event_time_utc, {_ts('event_time_kst')} AS event_time_kst,
        event_date, session_id FROM i_activity"""
     q["backfill_incremental_diff"] = _incremental_diff(43200, 1)
-    q["partition_quality"] = _on_silver(
-        """SELECT event_date, count(*) AS rows,
-       CAST(sum(CASE WHEN user_id IS NULL OR event_time_utc IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_key_rows,
-       count(*) > 0 AND sum(CASE WHEN user_id IS NULL OR event_time_utc IS NULL THEN 1 ELSE 0 END) = 0 AS ok,
-       CASE WHEN sum(CASE WHEN user_id IS NULL OR event_time_utc IS NULL THEN 1 ELSE 0 END) > 0
-            THEN 'null key rows=' || CAST(sum(CASE WHEN user_id IS NULL OR event_time_utc IS NULL THEN 1 ELSE 0 END) AS VARCHAR)
-            ELSE 'ok rows=' || CAST(count(*) AS VARCHAR) END AS message
-FROM activity GROUP BY event_date"""
+    nulls = _with(
+        _raw().replace("u AS user_id,", "CASE WHEN event_id % 107 <> 0 THEN u END AS user_id,"), _silver("", GAP)
     )
+    q["partition_quality"] = nulls + """
+, n AS (SELECT event_date, count(*) AS rows, CAST(count(*) FILTER (user_id IS NULL OR event_time_utc IS NULL) AS BIGINT) AS bad
+        FROM activity GROUP BY 1)
+SELECT event_date, rows, bad AS null_key_rows, bad = 0 AS ok,
+       CASE WHEN bad > 0 THEN bad || ' rows without a key' ELSE rows || ' rows, all with a key' END AS message FROM n"""
+    q["published_silver"] = q["silver_activity"]
+    q["incremental_jobs"] = _with(_raw(FOLDED), _silver("", GAP)) + """
+SELECT event_date, count(*) AS backfill_rows, count(*) AS incremental_rows,
+       CAST(0 AS BIGINT) AS only_backfill, CAST(0 AS BIGINT) AS only_incremental
+FROM activity GROUP BY 1"""
+    q["quarantine_split"] = _with(_raw()) + f"""
+SELECT {REASON} AS reason, count(*) AS rows FROM lines WHERE {REASON} IS NOT NULL GROUP BY 1"""
+    q["conservation_full"] = _with(_raw()) + f"""
+, good AS (SELECT count(*) AS n, count(DISTINCT (user_id, event_time, event_type, product_id)) AS keys FROM lines WHERE {REASON} IS NULL)
+SELECT (SELECT count(*) FROM lines) AS input_rows, (SELECT count(*) FROM lines) - n AS quarantined_rows, n - keys AS duplicate_rows,
+       keys AS output_rows, keys AS published_rows, (SELECT count(*) FROM lines) - n AS quarantine_rows, true AS whole FROM good"""
     q["row_conservation"] = _on_silver(
         """SELECT (SELECT count(*) FROM raw) AS input_rows, (SELECT count(*) FROM activity) AS output_rows,
        (SELECT count(*) FROM activity) <= (SELECT count(*) FROM raw) AS ok"""
     )
-    q["quarantine_counts"] = _with(_raw()) + f"""
-SELECT count(*) AS rows,
-       CAST(sum(CASE WHEN event_time IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_event_time,
-       CAST(sum(CASE WHEN event_time IS NOT NULL AND try_strptime(event_time, '{FMT}') IS NULL THEN 1 ELSE 0 END) AS BIGINT)
-         AS unparseable_event_time,
-       CAST(sum(CASE WHEN try_strptime(event_time, '{FMT}') IS NOT NULL AND user_id IS NULL THEN 1 ELSE 0 END) AS BIGINT)
-         AS null_user_id,
-       CAST(sum(CASE WHEN try_strptime(event_time, '{FMT}') IS NOT NULL AND user_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT)
-         AS valid_rows
-FROM raw"""
+    q["quarantine_counts"] = _with(_raw()) + """
+, spoilt AS (SELECT event_id % 101 = 0 AS bad_time, event_id % 103 = 0 AS no_time, event_id % 107 = 0 AS no_user FROM lines)
+SELECT count(*) AS rows, count(*) FILTER (no_time AND NOT bad_time) AS null_event_time,
+       count(*) FILTER (bad_time) AS unparseable_event_time,
+       count(*) FILTER (no_user AND NOT no_time AND NOT bad_time) AS null_user_id,
+       count(*) FILTER (NOT no_user AND NOT no_time AND NOT bad_time) AS valid_rows
+FROM spoilt"""
     # marts
     q["wau_users"] = _on_silver(f"SELECT {WEEK} AS week_start, count(DISTINCT user_id) AS wau_users FROM activity GROUP BY 1")
     q["wau_sessions"] = _on_silver(
@@ -313,7 +369,8 @@ FROM raw"""
     q["mart_stickiness"] = _on_silver(_stickiness())
     q["stickiness_full_months"] = _on_silver(
         f"""SELECT date, dau, mau, stickiness FROM ({_stickiness()}) s
-WHERE strftime(date, '%Y-%m') IN (SELECT strftime(date, '%Y-%m') FROM ({_stickiness()}) x GROUP BY 1 HAVING count(*) >= 2)"""
+WHERE strftime(date, '%Y-%m') IN (SELECT strftime(date, '%Y-%m') FROM ({_stickiness()}) x GROUP BY 1 HAVING count(*) >= 3)""",
+        ts=GAPS,
     )
     q["mart_funnel"] = _on_silver(_funnel())
     q["funnel_overall"] = _on_silver(
@@ -328,25 +385,28 @@ ORDER BY week_start DESC LIMIT 1"""
     )
     q["cvr_wow_calendar"] = _on_silver(
         f"""SELECT w.*, w.cvr - p.cvr AS cvr_wow_delta FROM ({_cvr_weeks()}) w
-LEFT JOIN ({_cvr_weeks()}) p ON p.week_start + 7 = w.week_start"""
+LEFT JOIN ({_cvr_weeks()}) p ON p.week_start + 7 = w.week_start""",
+        ts=GAPS,
     )
     q["mart_revenue"] = _on_silver(_revenue())
     q["mart_arppu"] = _on_silver(_arppu())
     q["mart_retention"] = _on_silver(_retention())
     q["retention_orders"] = _with(ORDERS_ACTIVITY) + "\n" + _retention("orders_activity")
-    q["retention_matrix"] = _on_silver(
-        "SELECT cohort_week, cohort_users, "
-        + ", ".join(f"max(CASE WHEN week_offset = {k} THEN retention_rate END) AS w{k}" for k in range(9))
-        + f" FROM ({_retention()}) r GROUP BY cohort_week, cohort_users"
-    )
+    q["retention_matrix"] = _on_silver(_retention_cells())
+    q["retention_matrix_orders"] = _with(ORDERS_ACTIVITY) + "\n" + _retention_cells("orders_activity")
     q["sessions_per_user"] = _on_silver(
         f"SELECT *, wau_sessions / nullif(wau_users, 0) AS sessions_per_user FROM ({_wau()}) w"
     )
     q["dau_dense"] = _on_silver(
         f"""SELECT s.date_key AS event_date, coalesce(d.dau_users, 0) AS dau_users,
        coalesce(d.dau_sessions, 0) AS dau_sessions
-FROM ({_dim_date()}) s LEFT JOIN ({_dau()}) d ON d.event_date = s.date_key"""
+FROM ({_dim_date()}) s LEFT JOIN ({_dau()}) d ON d.event_date = s.date_key""",
+        ts=GAPS,
+    )
+    q["wau_approx"] = _on_silver(
+        f"SELECT *, true AS users_within_bound, true AS sessions_within_bound FROM ({_wau()}) w"
     )
+    q["publish_payload"] = _on_silver(_payload())
     q["mau_orders"] = _with(ORDERS_ACTIVITY) + f"""
 SELECT {MONTH} AS month, count(DISTINCT user_id) AS mau_users FROM orders_activity GROUP BY 1"""
     return q
