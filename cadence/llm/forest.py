@@ -287,18 +287,19 @@ def crossing(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def dealt_pairs(pairs: DataFrame, folder: str) -> DataFrame:
-    """(key, x, ys) of pairs (a, b): a's partners dealt over several tasks."""
+    """(key, a, x, ys) of pairs (a, b): a's partners dealt over several tasks."""
     load = saved(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), f"{folder}/load")
     deal = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / FANOUT))
-    return pairs.join(load, "a").select(F.xxhash64("a", deal.cast("long")).alias("key"), F.col("b").alias("x"), F.array("a").alias("ys"))
+    dealt = pairs.join(load, "a").select(F.xxhash64("a", deal.cast("long")).alias("key"), "a", F.col("b").alias("x"))
+    return saved(dealt.withColumn("ys", F.array("a")), f"{folder}/dealt")
 
 
-def confirmed(rows: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def confirmed(rows: DataFrame, held: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of (key, x, ys) whose full sets are similar enough.
 
-    texts: node, text. The ys of a key are bounded (a hub or a block) and held
-    as sets; the texts of the xs stream past them."""
-    held = rows.select("key", F.explode("ys").alias("y")).distinct()
+    held: (key, y), all ys of a key: a hub, a region or a block, so they are
+    bounded and kept as sets, and the texts of the xs stream past them.
+    texts: node, text."""
     held = held.join(texts, held["y"] == texts["node"]).select("key", F.lit(0).alias("role"), "node", F.lit(None).cast("array<long>").alias("ys"), "text")
     passing = rows.join(texts, rows["x"] == texts["node"]).select("key", F.lit(1).alias("role"), "node", "ys", "text")
 
@@ -391,14 +392,19 @@ def linked(docs: DataFrame, percent: int = 85) -> DataFrame:
         .join(places, ["doc_id", "_text_key"]).select("node", "text"),
         f"{folder}/texts",
     )
-    links = saved(confirmed(dealt_pairs(first, folder), texts, percent), f"{folder}/links")
+    pairs = dealt_pairs(first, folder)
+    held = pairs.select("key", F.col("a").alias("y")).distinct()
+    links = saved(confirmed(pairs.drop("a"), held, texts, percent), f"{folder}/links")
     one = components(links, f"{folder}/first")
     # all other candidates between different components
     part_of = lambda rows: rows.join(one, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     meeting = dealt_regions(
         saved(part_of(inside.where("depth = 0").drop("depth")), f"{folder}/near"), saved(part_of(crowd), f"{folder}/far"), folder
     )
-    more = confirmed(saved(crossing(meeting, percent), f"{folder}/crossing"), texts, percent)
+    across = saved(crossing(meeting, percent), f"{folder}/crossing")
+    held = meeting.where("role = 0").select("key", F.col("node").alias("y"))
+    held = held.join(saved(across.select("key").distinct(), f"{folder}/keys"), "key", "left_semi")
+    more = confirmed(across, held, texts, percent)
     label = lambda x: one.select(F.col("node").alias(x), F.col("comp").alias(f"{x}_comp"))
     more = more.join(label("a"), "a", "left").join(label("b"), "b", "left")
     more = saved(more.select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b")).distinct(), f"{folder}/more")
