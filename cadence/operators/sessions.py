@@ -324,10 +324,17 @@ def previous_second(
 
 
 def session_audit(
-    activity: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS, original: str = "user_session"
+    activity: DataFrame,
+    gap_seconds: int = SESSION_GAP_SECONDS,
+    original: str = "user_session",
+    staged: str | None = None,
 ) -> DataFrame:
     """How the source's own session ids relate to the gap rule. One row.
 
+    Both halves read the distinct (user, original session, second) rows.
+    ``staged``: a folder of the shared scratch space to write them to first, so
+    that ``activity`` is computed once (this runs a job).
+
     * ``sessions_with_gap_share``: original sessions having an internal gap
       of more than ``gap_seconds`` between consecutive event seconds.
     * ``switch_gap_share``: among original sessions that are not the user's
@@ -337,15 +344,18 @@ def session_audit(
     """
     base = activity.where(F.col("event_time_utc").isNotNull() & F.col(original).isNotNull()).select(
         "user_id", original, epoch_seconds("event_time_utc").alias("_s")
-    )
+    ).distinct()
+    if staged is not None:
+        base.write.mode("overwrite").parquet(staged)
+        base = activity.sparkSession.read.schema(base.schema).parquet(staged)
     # (a) internal gaps per original session
-    sess_secs = previous_second(base.select("user_id", original, "_s").distinct(), ["user_id", original])
+    sess_secs = previous_second(base, ["user_id", original])
     per_sess = sess_secs.groupBy("user_id", original).agg(
         F.max(F.when((F.col("_s") - F.col("_prev")) > F.lit(gap_seconds), 1).otherwise(0)).alias("_gap"),
         F.min("_s").alias("_s0"),
     )
     # (b) gap from the user's previous event to each original session's first second
-    user_secs = base.groupBy("user_id", "_s").agg(F.countDistinct(original).alias("_nsess"))
+    user_secs = base.groupBy("user_id", "_s").agg(F.count(original).alias("_nsess"))
     user_prev = previous_second(user_secs, ["user_id"])
     starts = per_sess.alias("p").join(
         user_prev.alias("u"),

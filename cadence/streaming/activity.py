@@ -10,8 +10,8 @@
   equi-join with those starts (in ``foreachBatch``, or on landed rows).
 * :func:`unreadable` - the rows that the above leave out, for a quarantine sink.
 * :func:`stream_daily_fact` - per local day and event type: counts, revenue
-  and approximate distinct users (exact distinct is not available on streams;
-  sessions per day come from :func:`stream_sessions` or the published dates).
+  and approximate distinct users (exact distinct is not available on streams).
+* :func:`stream_daily_sessions` - sessions per local day, counted where they end.
 * :func:`publish_stream` - ``foreachBatch`` sink: lands each micro-batch
   under its epoch id (idempotent on replay) and re-publishes every affected
   date, and the dates after it, through the batch gate and swap.
@@ -19,8 +19,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 from typing import Any
+from zoneinfo import ZoneInfo
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from cadence.functions.timecols import money_sum, with_local_time
+from cadence.functions.timecols import local_date_text, money_sum, to_local_clock, with_local_time
 from cadence.operators.quality import with_reason
 from cadence.operators.sessions import session_id_col
 from cadence.schema import LOCAL_ZONE, NATURAL_KEY, RAW, RAW_COLUMNS, SESSION_GAP_SECONDS
@@ -185,6 +187,31 @@ def stream_daily_fact(
                       "approx_users", "sum_price")
 
 
+def stream_daily_sessions(
+    stream: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS, delay: str = "10 minutes", zone: str = LOCAL_ZONE
+) -> DataFrame:
+    """``event_date, sessions``: closed sessions per local day of their last
+    event's window, emitted once the day is below the watermark.
+
+    Two chained aggregates, both in the JVM: session windows, then days. Days
+    are windows shifted by the zone's offset, so the zone must have one offset
+    all year."""
+    offsets = {dt.datetime(2024, m, 1, tzinfo=ZoneInfo(zone)).utcoffset() for m in (1, 4, 7, 10)}
+    if len(offsets) != 1:
+        raise ValueError(f"{zone} changes its offset; days would not be of equal length")
+    start = (-int(offsets.pop().total_seconds())) % 86400
+    timed = with_local_time(stream, zone).withColumn("_sec", F.date_trunc("second", "event_time_utc"))
+    closed = (
+        timed.where(F.col("user_id").isNotNull()).withWatermark("_sec", delay)
+        .groupBy("user_id", F.session_window("_sec", f"{gap_seconds - 1} seconds 999999 microseconds").alias("_w"))
+        .agg(F.count(F.lit(1)).alias("events"))
+    )
+    days = closed.groupBy(F.window(F.window_time("_w"), "1 day", startTime=f"{start} seconds").alias("_d")).agg(
+        F.count(F.lit(1)).alias("sessions")
+    )
+    return days.select(local_date_text(to_local_clock("_d.start", zone)).alias("event_date"), "sessions")
+
+
 def publish_stream(
     stream: DataFrame,
     landing: str,

@@ -17,6 +17,7 @@ from cadence.streaming.activity import (
     publish_stream,
     read_event_stream,
     stream_daily_fact,
+    stream_daily_sessions,
     stream_dedup,
     stream_session_starts,
     stream_sessions,
@@ -100,6 +101,16 @@ def test_stream_daily_fact(spark, tmp_dir):
     assert got == want
 
 
+def test_stream_daily_sessions(spark, tmp_dir):
+    rows = _rows()
+    out = _drain(stream_daily_sessions(_flushed(spark, tmp_dir, rows)), tmp_dir)
+    last = F.max("event_time_utc").alias("t")
+    ends = sessionize(with_local_time(raw_rows(spark, rows))).groupBy("session_id").agg(last)
+    day = F.date_format(F.from_utc_timestamp(F.col("t") + F.expr("INTERVAL 299 SECONDS"), "Asia/Seoul"), "yyyy-MM-dd")
+    want = {r.d: r["count"] for r in ends.groupBy(day.alias("d")).count().collect()}
+    assert {r.event_date: r.sessions for r in out.collect()} == want and len(want) > 1
+
+
 def test_publish_stream_equals_backfill(spark, tmp_dir):
     rows = _rows()
     bad = [ev("never", user=5), ev(None, user=6), ev("2019-10-01 14:00:00", user=None)]
