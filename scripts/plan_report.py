@@ -15,7 +15,9 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cadence.operators import marts  # noqa: E402
+from cadence.operators import marts, serving  # noqa: E402
+from cadence.operators.quality import multiset_diff  # noqa: E402
+from cadence.operators.sessions import session_audit  # noqa: E402
 from cadence.plans.jobs import stage_grain  # noqa: E402
 from cadence.plans.pipeline import incremental_all_days, transform  # noqa: E402
 from cadence.session import local_session, scratch_dir  # noqa: E402
@@ -67,9 +69,9 @@ def main() -> None:
         f"Input: `{sf}`. Generated by `scripts/plan_report.py`.",
         "",
         "Reading guide. Silver: `hash(user_id, event_time, event_type, product_id)` is the",
-        "dedup shuffle (once). Default path: a small job first counts raw rows per user; with no user",
-        "above `hot_rows` (as here) the plan is the dedup shuffle plus `hash(user_id)` for one window",
-        "per user. Two-level path (hot users, or `hot_rows=None`): `hash(_k0, _z0, _s)` is the distinct (user, second) relation and the",
+        "dedup shuffle (once). Users are counted inside the plan; with no user above `hot_rows` (as",
+        "here) AQE drops the two-level branch, and `hash(user_id)` serves one window per user.",
+        "Two-level path (hot users, or `hot_rows=None`): `hash(_k0, _z0, _s)` is the distinct (user, second) relation and the",
         "final join on (user, second); `hash(_k0, _z0, _b)` the (user, day) sort groups, reused",
         "by the per-day summary; `hash(_k0, _z0)` the per-user summary (a few rows per user).",
         "`_k*`/`_z*` are the null-safe encodings of the keys. With static broadcasts off, both",
@@ -80,8 +82,16 @@ def main() -> None:
     ]
     lines += summarise("silver transform, default (no user above hot_rows: one window per user)", transform(raw))
     lines += summarise("silver transform, two-level path for every user (hot_rows=None)", transform(raw, hot_rows=None))
+    lines += summarise("silver transform, users split (hot_rows=75)", transform(raw, hot_rows=75))
     lines += summarise("incremental replay, all dates (lookback 1)", incremental_all_days(raw, 1))
     lines += summarise("gold grain from committed silver", marts.activity_grain(read_committed(spark, root)))
+    silver = read_committed(spark, root)
+    lines += summarise("multiset_diff (published silver against the transform)", multiset_diff(silver, transform(raw)))
+    audit = f"{scratch_dir(spark).rstrip('/')}/audit-{uuid.uuid4().hex}"
+    lines += summarise("session_audit (staged relation)", session_audit(silver, staged=audit))
+    lines += summarise("cvr_wow_calendar (from the grain)", marts.cvr_wow_calendar(grain))
+    payload = serving.publish_payload({n: fn(grain) for n, fn in marts.MARTS.items()})
+    lines += summarise("publish_payload (ten marts from the grain)", payload)
     for name in ("mart_wau", "fact_daily_activity", "mart_stickiness", "mart_funnel", "mart_retention"):
         lines += summarise(f"{name} (from the grain)", marts.MARTS[name](grain))
     print("\n".join(lines))
