@@ -1,7 +1,7 @@
 """Line deduplication by content-defined chunks (DataFrame functions only).
 
-A text is read as lines: they end at a line feed, and inside a long paragraph
-at a sentence end (``. ``). Rolling hashes over the hashes of neighbouring lines
+A text is read as lines: they end at a line feed, and inside a paragraph at the
+end of a sentence or clause (``. `` and ``, ``). Rolling hashes over the hashes of neighbouring lines
 choose the chunk boundaries: a boundary stands where the rolling hash is a local
 minimum. That depends on four lines only, so a passage has the same boundaries
 wherever it stands and whatever was inserted before it.
@@ -15,8 +15,8 @@ passage ends inside it, are removed from all later occurrences, if they have
 earlier place, so the first copy of every passage stays.
 
 Only boundary hashes of all documents are shuffled; texts are shuffled for
-documents with a repeated boundary. Boundary keys are counted before the join,
-and its skewed partitions can be split. Null text: no lines, stays null. A row
+documents with a repeated boundary. A boundary's occurrences are counted before
+they are compared, and dealt over as many tasks as they need. Null text: no lines, stays null. A row
 is identified by doc_id and text; rows equal in both count as one occurrence
 and both stay. Null doc_ids sort first. All columns are kept; columns named
 n_lines or n_removed are replaced.
@@ -29,12 +29,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import saved, workdir
+from cadence.llm.common import KEY, pruned, saved, workdir
 
 LEAST_CHARS = 60
 CUT = "\x01"
-#: Keys of documents that may be broadcast to prune a scan (8 bytes each); beyond, the same rows are found by a shuffled join.
-MAX_PRUNING_KEYS = 2_000_000
+#: Occurrences of a boundary that one task compares.
+DEAL = 1000
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -44,8 +44,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def pieces(text: Column) -> Column:
     """The text in lines that still have their ends: joined, they are the text."""
-    marked = F.replace(F.replace(text, F.lit("\n"), F.lit("\n" + CUT)), F.lit(". "), F.lit(". " + CUT))
-    return F.when(F.instr(text, CUT) == 0, F.split(marked, CUT)).otherwise(F.split(text, r"(?<=\n)|(?<=\. )"))
+    marked = text
+    for end in ("\n", ". ", ", "):
+        marked = F.replace(marked, F.lit(end), F.lit(end + CUT))
+    return F.when(F.instr(text, CUT) == 0, F.split(marked, CUT)).otherwise(F.split(text, r"(?<=\n)|(?<=[.,] )"))
 
 
 def lines(text: Column) -> Column:
@@ -89,46 +91,47 @@ def common_prefix(a: Column, b: Column) -> Column:
     )
 
 
-def pruned(docs: DataFrame, keys: DataFrame, n_keys: int, how: str) -> DataFrame:
-    """Semi or anti join of docs on ``_key`` with a set of known size."""
-    return docs.join(F.broadcast(keys) if n_keys <= MAX_PRUNING_KEYS else keys, "_key", how)
-
-
 def removals(docs: DataFrame, folder: str, least_chars: int) -> DataFrame:
-    """_key and ranges (array of begin, end: line numbers) to remove."""
-    base = docs.select("doc_id", "text", row_key(docs).alias("_key")).where("text is not null")
-    marks = saved(base.select("_key", boundaries(lines(F.col("text"))).alias("b")), f"{folder}/marks")
-    each = marks.select("_key", F.inline("b"))
-    again = each.groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("code")
+    """The key and the ranges (array of begin, end: line numbers) to remove."""
+    base = docs.select("doc_id", "text", row_key(docs).alias(KEY)).where("text is not null")
+    marks = saved(base.select("doc_id", KEY, boundaries(lines(F.col("text"))).alias("b")), f"{folder}/marks")
+    each = marks.select("doc_id", KEY, F.inline("b"))
+    again = (
+        each.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "at", KEY)).alias("f"))
+        .where("n > 1").select("code", "n", F.col("f.at").alias("f_at"), F.col(f"f.{KEY}").alias("f_key"))
+    )
+    met = each.drop("doc_id").join(saved(again, f"{folder}/again"), "code")
+    first = (F.col("at") == F.col("f_at")) & (F.col(KEY) == F.col("f_key"))
     found = saved(
-        each.join(again, "code").groupBy("_key").agg(F.collect_set(F.struct("at", "low", "high", "code")).alias("b")),
+        met.groupBy(KEY).agg(F.collect_set(F.struct("at", "low", "high", "code", "n", first.alias("first"))).alias("b")),
         f"{folder}/repeated",
     )
-    here = pruned(base, found.select("_key"), found.count(), "left_semi").join(found, "_key")
+    here = pruned(base, found.select(KEY), found.count(), "left_semi").join(found, KEY)
     at = F.col("m.at")
     sides = (
         here.withColumn("l", lines(F.col("text")))
-        .select("doc_id", "_key", "l", F.explode("b").alias("m"))
+        .select(KEY, "l", F.explode("b").alias("m"))
         .select(
-            "doc_id", "_key", at.alias("at"), F.col("m.code").alias("code"),
-            F.concat_ws("\n", F.col("l")[at - 1], F.col("l")[at]).alias("meet"),
+            KEY, at.alias("at"), "m.code", "m.n", "m.first",
             F.reverse(F.slice("l", F.col("m.low") + 1, at - F.col("m.low"))).alias("before"),
             F.slice("l", at + 1, F.col("m.high") - at).alias("after"),
         )
     )
-    first = (
-        sides.groupBy("code", "meet")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "at", "_key", "before", "after")).alias("r"))
-        .where("n > 1").select("code", "meet", "r")
+    deals = F.ceil(F.col("n") / DEAL)
+    firsts = sides.where("first").select(
+        "code", F.struct("before", "after").alias("r"), F.explode(F.sequence(F.lit(0).cast("long"), deals - 1)).alias("deal")
     )
+    later = sides.where("not first").withColumn("deal", F.pmod(F.xxhash64(KEY), deals))
     back, forth = common_prefix(F.col("before"), F.col("r.before")), common_prefix(F.col("after"), F.col("r.after"))
     size = lambda a, n: F.aggregate(F.slice(a, 1, n), F.lit(0), lambda s, x: s + F.length(x))
     return (
-        sides.join(first, ["code", "meet"]).where(~((F.col("_key") == F.col("r._key")) & (F.col("at") == F.col("r.at"))))
+        later.join(firsts, ["code", "deal"])
         .withColumn("back", back).withColumn("forth", forth)
+        # hashes of other lines may collide; those that meet must be equal
+        .where((F.col("back") > 0) & (F.col("forth") > 0))
         .where(size("before", F.col("back")) + size("after", F.col("forth")) >= least_chars)
-        .groupBy("_key")
-        .agg(F.collect_set(F.struct((F.col("at") - F.col("back")).alias("begin"), (F.col("at") + F.col("forth")).alias("end"))).alias("ranges"))
+        .groupBy(KEY)
+        .agg(F.collect_set(F.struct((F.col("at") - F.col("back")).alias("begin"), (F.col("at") + F.col("forth")).alias("end"))).alias("_llm_ranges"))
     )
 
 
@@ -138,18 +141,18 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     folder = workdir(docs.sparkSession)
     docs = docs.drop("n_lines", "n_removed")
     gone = saved(removals(docs, folder, least_chars), f"{folder}/ranges")
-    keyed = docs.withColumn("_key", row_key(docs))
+    keyed = docs.withColumn(KEY, row_key(docs))
     n = gone.count()
     stays = lambda p, ranges: F.filter(p, lambda x, i: ~F.exists(ranges, lambda q: (q["begin"] <= i) & (i < q["end"])))
-    own, cut = F.col("_p"), F.col("ranges")
+    own, cut = F.col("_llm_pieces"), F.col("_llm_ranges")
     changed = (
-        pruned(keyed, gone.select("_key"), n, "left_semi").join(gone, "_key")
-        .withColumn("_p", pieces(F.col("text"))).withColumn("_s", stays(own, cut))
-        .withColumn("text", F.array_join("_s", ""))
-        .withColumn("n_lines", F.size("_p")).withColumn("n_removed", F.size("_p") - F.size("_s"))
+        pruned(keyed, gone.select(KEY), n, "left_semi").join(gone, KEY)
+        .withColumn("_llm_pieces", pieces(F.col("text"))).withColumn("_llm_stay", stays(own, cut))
+        .withColumn("text", F.array_join("_llm_stay", ""))
+        .withColumn("n_lines", F.size("_llm_pieces")).withColumn("n_removed", F.size("_llm_pieces") - F.size("_llm_stay"))
     )
-    same = pruned(keyed, gone.select("_key"), n, "left_anti").withColumn(
-        "n_lines", F.coalesce(F.size(pieces(F.col("text"))), F.lit(0))
+    same = pruned(keyed, gone.select(KEY), n, "left_anti").withColumn(
+        "n_lines", F.coalesce(F.array_size(pieces(F.col("text"))), F.lit(0))
     ).withColumn("n_removed", F.lit(0))
     columns = [*docs.columns, "n_lines", "n_removed"]
     return same.select(columns).unionByName(changed.select(columns))

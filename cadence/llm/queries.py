@@ -30,7 +30,9 @@ def op2_line_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op3_template_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return templates.contaminated(docs, table(spark, sf, "benchmark")).drop("_key")
+    return templates.contaminated(docs, table(spark, sf, "benchmark")).select(
+        "doc_id", "item_id", "windows", "n_windows", "n_slots", "changed"
+    )
 
 
 def op4_mincut_extraction(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,7 +92,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_chunk_dedup": r"""
             WITH split_ AS (
-                SELECT doc_id, string_split(replace(replace(text, chr(10), chr(10) || chr(1)), '. ', '. ' || chr(1)), chr(1)) AS p
+                SELECT doc_id, string_split(replace(replace(replace(text, chr(10), chr(10) || chr(1)), '. ', '. ' || chr(1)), ', ', ', ' || chr(1)), chr(1)) AS p
                 FROM documents
             ), line AS (
                 SELECT doc_id, len(p) AS n, generate_subscripts(p, 1) - 1 AS i, unnest(p) AS piece FROM split_
@@ -193,4 +195,74 @@ def oracle_sql() -> dict[str, str]:
                 sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                 sum(size)::BIGINT AS formatted_chars
             FROM sized GROUP BY conv_id""",
+        "op9_line_first_rules": _rules_sql(),
+        "op10_lsh_forest": r"""
+            WITH RECURSIVE words AS (
+                SELECT doc_id, regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+                FROM documents
+            ), shingles AS (
+                SELECT DISTINCT doc_id, w[k : k + 4] AS g
+                FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM words WHERE len(w) > 0)
+            ), sizes AS (
+                SELECT doc_id, count(g) AS n FROM words LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+            ), shared AS (
+                SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_
+                FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+            ), links AS (
+                SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+                WHERE 100 * both_ >= 85 * (x.n + y.n - both_)
+            ), reach AS (
+                SELECT doc_id AS a, doc_id AS b FROM sizes
+                UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+            )
+            SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+            FROM sizes JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) USING (doc_id)""",
     }
+
+
+def _rules_sql() -> str:
+    limits = {k: str(getattr(rules, k)) for k in (
+        "SYMBOLS_A_WORD", "SHOUTS_A_WORD", "UPPER_SHARE", "REPEAT_SHARE", "PIPES", "SHORT_WORDS", "LEAST_WORDS", "MOST_REPEATED", "MAX_LOST",
+    )}
+    sql = r"""
+            WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+            line AS (
+                SELECT doc_id, i, l, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS w FROM (
+                    SELECT doc_id, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS i FROM docs)
+            ), counted AS (
+                SELECT *, len(w) AS n, greatest(len(w), 1) AS n1, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS seen,
+                    len(regexp_extract_all(l, '[#*$%&|<>]')) AS symbols, len(regexp_extract_all(l, '!')) AS shouts,
+                    len(regexp_extract_all(l, '[|]')) AS pipes, len(regexp_extract_all(l, '\p{Lu}')) AS upper_,
+                    len(regexp_extract_all(l, '\p{L}')) AS letters,
+                    len(list_filter(range(1, len(w)), lambda k: w[k] = w[k + 1])) AS again
+                FROM line
+            ), judged AS (
+                SELECT *, n > 0 AND (symbols / n1 > {SYMBOLS_A_WORD} OR shouts / n1 > {SHOUTS_A_WORD}
+                    OR (n >= 3 AND upper_ > {UPPER_SHARE} * greatest(letters, 1)) OR pipes >= {PIPES}
+                    OR (n >= 6 AND again / n1 > {REPEAT_SHARE})
+                    OR (n <= {SHORT_WORDS} AND regexp_matches(lower(l), '{phrases}'))) AS fails
+                FROM counted
+            ), summed AS (
+                SELECT doc_id, sum(n)::BIGINT AS n_words, sum(seen)::BIGINT AS word_chars, sum(symbols)::BIGINT AS n_symbols,
+                    (count(*) FILTER (n > 0) - count(DISTINCT l) FILTER (n > 0))::BIGINT AS n_dup_lines,
+                    count(*) FILTER (fails) AS n_lines_failed, coalesce(sum(seen) FILTER (fails), 0)::BIGINT AS lost_chars
+                FROM judged GROUP BY doc_id
+            ), words AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs
+            ), windows AS (
+                SELECT doc_id, k, w[k : k + 4] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM words)
+            ), repeated AS (
+                SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows
+            ), covered AS (
+                SELECT doc_id, count(DISTINCT k + d) AS n_repeat_words FROM repeated, range(5) t(d) WHERE c > 1 GROUP BY doc_id
+            ), joined AS (
+                SELECT s.*, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                    n_words < {LEAST_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {MOST_REPEATED} * n_words AS base_failed
+                FROM summed s LEFT JOIN covered USING (doc_id)
+            )
+            SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+                NOT base_failed AND lost_chars <= {MAX_LOST} * word_chars AS kept, n_lines_failed, lost_chars
+            FROM joined"""
+    for name, value in (limits | {"phrases": "|".join(rules.PHRASES)}).items():
+        sql = sql.replace("{" + name + "}", value)
+    return sql

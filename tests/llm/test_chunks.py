@@ -6,12 +6,12 @@ import hashlib
 import random
 import re
 
-from cadence.llm import chunks
+from cadence.llm import chunks, common
 
 
 def brute(docs: list[tuple[int, str]], least_chars: int) -> dict[int, str]:
     """doc_id -> text without its repeated passages."""
-    split = {d: [p for p in re.split(r"(?<=\n)|(?<=\. )", t)] for d, t in docs}
+    split = {d: [p for p in re.split(r"(?<=\n)|(?<=[.,] )", t)] for d, t in docs}
     lines = {d: [p.strip(" \t\r\n") for p in ps] for d, ps in split.items()}
     marks = []
     for d, ls in lines.items():
@@ -60,7 +60,8 @@ def test_equals_brute_force(spark, monkeypatch):
     assert sum(expect[d] != t for d, t in docs) > 20
     table = spark.createDataFrame(docs, "doc_id long, text string")
     assert {r.doc_id: r.text for r in chunks.dedup_lines(table).collect()} == expect
-    monkeypatch.setattr(chunks, "MAX_PRUNING_KEYS", -1)  # the path without broadcasts
+    monkeypatch.setattr(common, "MAX_PRUNING_KEYS", -1)  # the path without broadcasts
+    monkeypatch.setattr(chunks, "DEAL", 2)
     assert {r.doc_id: r.text for r in chunks.dedup_lines(table).collect()} == expect
 
 
@@ -83,9 +84,9 @@ def test_defined_cases(spark):
         (1, None, "x", 1), (2, "", "x", 1), (3, body, "x", 1), (4, body, None, 2), (4, body, None, 2), (None, body, "n", 3),
         (6, long, "x", 1), (7, long, "x", 1), (8, odd, "x", 1), (9, "One. Two.", "x", 1),
     ]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_removed int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ranges string, n_removed int")
     out = chunks.dedup_lines(docs)
-    assert out.columns == ["doc_id", "text", "source", "n_lines", "n_removed"]
+    assert out.columns == ["doc_id", "text", "ranges", "n_lines", "n_removed"]
     got = out.collect()
     assert len(got) == len(rows)
     by = {r.doc_id: r for r in got}
