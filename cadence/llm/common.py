@@ -8,13 +8,16 @@ a block of its own), so the memory of a task does not depend on batch sizes.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cadence.session import scratch_dir
 
 BLOCK_CHARS = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -29,15 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def workdir(spark: SparkSession) -> str:
-    """A fresh folder below the shared ``spark.checkpoint.dir``.
-
-    Only a session without one (tests, one machine) gets a local folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="cadence-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    """A fresh folder below the shared scratch folder (``spark.checkpoint.dir``)."""
+    return f"{scratch_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame, folder: str) -> DataFrame:
@@ -47,6 +43,19 @@ def saved(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+#: Keys of documents that may be broadcast to prune a scan (8 bytes each); beyond, the same rows are found by a shuffled join.
+MAX_PRUNING_KEYS = 2_000_000
+
+
+#: The operators' own columns beside those of an input begin with ``_llm_``.
+KEY = "_llm_key"
+
+
+def pruned(docs: DataFrame, keys: DataFrame, n_keys: int, how: str) -> DataFrame:
+    """Semi or anti join of docs on the row key with a set of known size."""
+    return docs.join(F.broadcast(keys) if n_keys <= MAX_PRUNING_KEYS else keys, KEY, how)
+
+
 def in_fold(doc_id: Column, mod: int, rest: int) -> Column:
     """crc32 of the id as text, modulo ``mod``, equals ``rest`` (null id: no)."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(mod)) == rest, F.lit(False))
@@ -87,6 +96,28 @@ def labelled_texts(
     return got.text.tolist(), got._y.to_numpy()
 
 
+ROWS = 256
+
+
+def with_arrays(
+    docs: DataFrame, new: T.StructType, make: Callable[[list], list[pa.Array]], column: str, keep: list[str] | None = None
+) -> DataFrame:
+    """The columns ``keep`` of docs (None: all that ``new`` does not replace) and
+    the ``new`` ones, made from the values of ``column`` a few rows at a time:
+    what a task holds does not depend on batch sizes."""
+    keep = [c for c in docs.columns if c not in new.names] if keep is None else keep
+    docs = docs.select(*dict.fromkeys([*keep, column]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                arrays = make(part.column(column).to_pylist())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *arrays], names=[*keep, *new.names])
+
+    return docs.mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), *new.fields]))
+
+
 # ---------------------------------------------------------------- task side
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.chunks import let
+from cadence.llm.common import KEY, pruned, saved, workdir
 
 WINDOW, ANCHOR, LITERALS, COVER = 8, 4, 4, 0.5
 NAME, NUMBER, UNIT = "<name>", "<num>", "<unit>"
@@ -99,20 +100,20 @@ def matches(docs: DataFrame, items: DataFrame, most: int = MAX_BROADCAST_WINDOWS
     """Word-for-word equal template windows: doc_id, _key, pos, item_id, _item,
     item_pos, n_windows, template, fillers (of the item), said (of the document)."""
     known = benchmark_windows(items)
-    base = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_key")).where("text is not null").select(
-        "doc_id", "_key", "text", template_words(F.col("text")).alias("t")
+    base = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias(KEY)).where("text is not null").select(
+        "doc_id", KEY, "text", template_words(F.col("text")).alias("t")
     )
     coded = base.withColumn("c", anchor_codes(F.col("t")))
     if known.count() <= most:
         hit = coded.select("*", F.posexplode("c").alias("spot", "code")).join(F.broadcast(known), "code")
     else:  # hashes first; the words come back by the document's key
-        spots = coded.select("_key", F.posexplode("c").alias("spot", "code")).join(known, "code").distinct()
-        hit = base.join(spots, "_key")
+        spots = coded.select(KEY, F.posexplode("c").alias("spot", "code")).join(known, "code").distinct()
+        hit = base.join(spots, KEY)
     return (
         hit.withColumn("pos", F.col("spot") - F.col("offset"))
         .where(F.expr("CASE WHEN pos >= 0 THEN slice(t, pos + 1, size) = template ELSE false END"))
         .withColumn("r", raw_words(F.col("text"))).withColumn("said", F.expr("slice(r, pos + 1, size)"))
-        .select("doc_id", "_key", "pos", "item_id", "_item", "item_pos", "n_windows", "template", "fillers", "said")
+        .select("doc_id", KEY, "pos", "item_id", "_item", "item_pos", "n_windows", "template", "fillers", "said")
     )
 
 
@@ -126,22 +127,22 @@ def contaminated(docs: DataFrame, items: DataFrame, cover: float = COVER, most:
     )
     aligned = (
         matches(docs, items, most).withColumn("slots", slots)
-        .groupBy("doc_id", "_key", "item_id", "_item", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift"))
+        .groupBy("doc_id", KEY, "item_id", "_item", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift"))
         .agg(F.collect_set("item_pos").alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     )
     kind_of = lambda name: F.array_distinct(F.transform("slots", lambda s: F.struct(s["template"], s[name])))
     consistent = (F.size("slots") == F.size(kind_of("fillers"))) & (F.size("slots") == F.size(kind_of("said")))
-    whole = aligned.where(consistent).groupBy("doc_id", "_key", "item_id", "_item", "n_windows").agg(
+    whole = aligned.where(consistent).groupBy("doc_id", KEY, "item_id", "_item", "n_windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("windows"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
     return whole.where(F.col("windows") >= cover * F.col("n_windows")).select(
-        "doc_id", "item_id", "_key", "windows", F.col("n_windows").cast("long"), F.size("slots").cast("long").alias("n_slots"),
+        "doc_id", "item_id", KEY, "windows", F.col("n_windows").cast("long"), F.size("slots").cast("long").alias("n_slots"),
         F.size(F.filter("slots", lambda s: s["fillers"] != s["said"])).cast("long").alias("changed"),
     )
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, cover: float = COVER) -> DataFrame:
     """The rows of docs that no item contaminates, all columns."""
-    bad = contaminated(docs, items, cover).select("_key").distinct()
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(bad, "_key", "left_anti").drop("_key")
+    bad = saved(contaminated(docs, items, cover).select(KEY).distinct(), f"{workdir(docs.sparkSession)}/bad")
+    return pruned(docs.withColumn(KEY, F.xxhash64("doc_id", "text")), bad, bad.count(), "left_anti").drop(KEY)

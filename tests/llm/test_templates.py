@@ -51,7 +51,7 @@ def test_short_items_and_both_join_paths(spark):
 
 def test_stage_drops_only_contaminated_rows(spark):
     rows = [(1, f"x {QUESTION}", "s"), (1, f"x {QUESTION}", "s"), (None, f"y {QUESTION}", "s"), (2, None, "s"), (3, "", None), (4, "clean", "s")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string")
     items = spark.createDataFrame([(0, QUESTION), (0, QUESTION), (None, "clean"), (2, None)], ITEMS)
     out = templates.decontaminated(docs, items)
     assert out.columns == docs.columns and sorted((r.doc_id for r in out.collect())) == [2, 3, 4]
