@@ -14,19 +14,21 @@ columns with the names of the results are replaced.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadence.llm.common import with_arrays
+
 END = "</w>"
-MAX_REMEMBERED = 300_000
+MAX_REMEMBERED = 150_000
 NO_MERGE = 1 << 40
 # Fixed values of the vocabulary's format: its pre-tokens and its space rule.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -61,6 +63,7 @@ class Codec:
     def __init__(self, spec: dict):
         self.vocab: dict[str, int] = spec["vocab"]
         self.special: dict[str, int] = spec["special"]
+        self.names = [str(i) for i in range(max([*self.vocab.values(), *self.special.values()]) + 1)]
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         # a merge by the ids of its two sides: its rank, and what it makes
         vocab = self.vocab
@@ -151,7 +154,7 @@ class Codec:
 
     def decode(self, ids) -> str:
         """The file names no decoder: tokens stand with one space between."""
-        return " ".join([self.tokens[int(i)] for i in ids])
+        return " ".join([self.tokens[i] for i in ids])
 
 
 _codecs: dict[str, Codec] = {}
@@ -171,55 +174,49 @@ def _shared(df: DataFrame, vocabulary: str):
     return df.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary))
 
 
+def _lists(ids: list[list[int]]) -> pa.Array:
+    at = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    flat = np.fromiter(itertools.chain.from_iterable(ids), dtype=np.int32, count=int(at[-1]))
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(flat))
+
+
 def encode(docs: DataFrame, vocabulary: str, text: str = "text", to: str = "ids") -> DataFrame:
     """All columns, and the token ids of the whole text as array<int>."""
     spec = _shared(docs, vocabulary)
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = codec(spec)
-        for part in texts:
-            yield pd.Series([np.array(own.encode(t), dtype=np.int32) for t in part])
-
-    return docs.withColumn(to, ids(F.col(text)))
+    new = T.StructType([T.StructField(to, T.ArrayType(T.IntegerType()))])
+    return with_arrays(docs, new, lambda texts: [_lists([codec(spec).encode(t) for t in texts])], text)
 
 
 def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """All columns, and the text of the ids (null ids: empty)."""
     spec = _shared(docs, vocabulary)
-
-    @F.pandas_udf(T.StringType())
-    def texts(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = codec(spec)
-        for part in column:
-            yield pd.Series([own.decode(x if x is not None else ()) for x in part])
-
-    return docs.withColumn(to, texts(F.col(ids)))
+    new = T.StructType([T.StructField(to, T.StringType())])
+    return with_arrays(docs, new, lambda lists: [pa.array([codec(spec).decode(x or ()) for x in lists], pa.string())], ids)
 
 
 def digests(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFrame:
     """All columns; n_tokens and digests of the ids and of the text decoded
     from them, and the ids themselves if wanted."""
     spec = _shared(docs, vocabulary)
-    kind = T.StructType([
+    new = T.StructType([
         T.StructField("n_tokens", T.LongType()),
         T.StructField("ids_sha256", T.StringType()),
         T.StructField("decoded_sha256", T.StringType()),
         *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []),
     ])
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
 
-    @F.pandas_udf(kind)
-    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def make(texts: list[str | None]) -> list[pa.Array]:
         own = codec(spec)
-        names = [str(i) for i in range(max(own.tokens) + 1)]
-        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        for part in texts:
-            rows = []
-            for t in part:
-                ids = own.encode(t)
-                row = (len(ids), sha(" ".join([names[i] for i in ids])), sha(own.decode(ids)))
-                rows.append((*row, np.array(ids, dtype=np.int32)) if with_ids else row)
-            yield pd.DataFrame(rows, columns=kind.names)
-
-    docs = docs.drop(*kind.names)
-    return docs.withColumn("_d", both(F.col("text"))).select("*", "_d.*").drop("_d")
+        count, by_ids, by_text, lists = [], [], [], []
+        for t in texts:
+            ids = own.encode(t)
+            count.append(len(ids))
+            by_ids.append(sha(" ".join([own.names[i] for i in ids])))
+            by_text.append(sha(own.decode(ids)))
+            if with_ids:
+                lists.append(ids)
+        out = [pa.array(count, pa.int64()), pa.array(by_ids, pa.string()), pa.array(by_text, pa.string())]
+        return [*out, _lists(lists)] if with_ids else out
+
+    return with_arrays(docs, new, make, "text")
