@@ -169,6 +169,7 @@ def classify(docs: DataFrame, labels: DataFrame, train: Column, most: int = MAX_
 
     rate = F.pandas_udf(run, "score double, bad_share double")
     docs = docs.drop("score", "predicted", "bad_share")
-    return docs.withColumn("_q", rate("text")).select(
-        "*", "_q.score", (F.col("_q.score") >= THRESHOLD).cast("int").alias("predicted"), "_q.bad_share"
-    ).drop("_q")
+    score_of = F.col("_llm_row.score")
+    return docs.withColumn("_llm_row", rate("text")).select(
+        "*", score_of, (score_of >= THRESHOLD).cast("int").alias("predicted"), "_llm_row.bad_share"
+    ).drop("_llm_row")

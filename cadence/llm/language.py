@@ -112,4 +112,4 @@ def identify(docs: DataFrame, train: Column, most: int = MAX_TRAIN, max_chars: i
 
     guess = F.pandas_udf(run, "lang_pred string, score double")
     docs = docs.drop("lang_pred", "score")
-    return docs.withColumn("_p", guess("text")).select("*", "_p.lang_pred", "_p.score").drop("_p")
+    return docs.withColumn("_llm_row", guess("text")).select("*", "_llm_row.lang_pred", "_llm_row.score").drop("_llm_row")

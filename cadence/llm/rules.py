@@ -104,4 +104,4 @@ def clean(docs: DataFrame) -> DataFrame:
 
     judge = F.pandas_udf(run, SCHEMA + ", clean_text string")
     docs = docs.drop(*names, "clean_text")
-    return docs.withColumn("_j", judge("text")).select("*", "_j.*").drop("_j")
+    return docs.withColumn("_llm_row", judge("text")).select("*", "_llm_row.*").drop("_llm_row")
