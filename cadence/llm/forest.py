@@ -36,10 +36,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cadence.llm.common import SpanHasher, blocks, code_points, is_space, mixed, saved, spans, workdir
+from cadence.llm.common import SpanHasher, blocks, code_points, is_space, mixed, saved, spans, with_arrays, workdir
 
 SHINGLE = 5
 TREES, STEP = 20, 4
@@ -47,7 +49,7 @@ HASHES = TREES * STEP
 DEPTHS = (4, 8, 16, 32, HASHES)
 REGION = 64
 FANOUT = 128
-BLOCK, OUTSIDERS = 256, 512  # nodes, and nodes outside the main component, that meet in one task
+BLOCK, OUTSIDERS = 128, 128  # nodes, and nodes outside the main component, that meet in one task
 SLACK = 0.15  # a sketch may fall short of the wanted similarity by this much (3.7 standard deviations)
 MAX_BROADCAST_KEYS = 1_000_000
 
@@ -93,24 +95,26 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, _text_key, n_shingles, node (a hash of the set; null: empty), sig."""
-
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            texts = part.fillna("").tolist()
-            count, node, sig = [], [], []
-            for s, e in blocks(texts):
-                sets = shingle_sets(texts[s:e])
-                full = [x for x in sets if len(x)]
-                rows = iter(signatures(full) if full else ())
-                for x in sets:
-                    count.append(len(x))
-                    sig.append(next(rows).tobytes() if len(x) else None)
-                    node.append(int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "big", signed=True) if len(x) else None)
-            yield pd.DataFrame({"n_shingles": count, "node": pd.array(node, "Int64"), "sig": pd.Series(sig, dtype=object)})
-
-    sign = F.pandas_udf(run, "n_shingles long, node long, sig binary")
-    return docs.select("doc_id", F.xxhash64("text").alias("_text_key"), sign("text").alias("s")).select("doc_id", "_text_key", "s.*")
+    """doc_id, _llm_text, n_shingles, node (a hash of the set; null: empty), sig."""
+
+    def make(texts: list[str | None]) -> list[pa.Array]:
+        texts = [t or "" for t in texts]
+        count, node, sig = [], [], []
+        for s, e in blocks(texts):
+            sets = shingle_sets(texts[s:e])
+            full = [x for x in sets if len(x)]
+            rows = iter(signatures(full) if full else ())
+            for x in sets:
+                count.append(len(x))
+                sig.append(next(rows).tobytes() if len(x) else None)
+                node.append(int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "big", signed=True) if len(x) else None)
+        return [pa.array(count, pa.int64()), pa.array(node, pa.int64()), pa.array(sig, pa.binary())]
+
+    new = T.StructType([
+        T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType()), T.StructField("sig", T.BinaryType()),
+    ])
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_llm_text"))
+    return with_arrays(keyed, new, make, "text", ["doc_id", "_llm_text"])
 
 
 # ------------------------------------------------------------- candidates
@@ -360,14 +364,14 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
 
 
 def linked(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, _text_key, n_shingles, component_id for every row of docs.
+    """doc_id, _llm_text, n_shingles, component_id for every row of docs.
 
     Two documents are linked when 100 * intersection >= percent * union."""
     folder = workdir(docs.sparkSession)
     sigs = saved(signed(docs), f"{folder}/signed")
     nodes = saved(
         sigs.where("node is not null and doc_id is not null").groupBy("node").agg(
-            F.min(F.struct("doc_id", "_text_key")).alias("first"), F.count(F.lit(1)).alias("n_docs"),
+            F.min(F.struct("doc_id", "_llm_text")).alias("first"), F.count(F.lit(1)).alias("n_docs"),
             F.min("n_shingles").alias("size"), F.min("sig").alias("sig"),
         ),
         f"{folder}/nodes",
@@ -384,12 +388,12 @@ def linked(docs: DataFrame, percent: int = 85) -> DataFrame:
     best = best.select(F.least("node", -F.col("m.h")).alias("a"), F.greatest("node", -F.col("m.h")).alias("b"))
     first = saved(spanning_pairs(inside, percent).unionAll(best).distinct(), f"{folder}/pairs")
     need = inside.select("node").unionAll(crowd.select("node")).distinct()
-    places = saved(need.join(nodes, "node").select("node", "first.doc_id", "first._text_key"), f"{folder}/places")
+    places = saved(need.join(nodes, "node").select("node", "first.doc_id", "first._llm_text"), f"{folder}/places")
     if places.count() <= MAX_BROADCAST_KEYS:
         places = F.broadcast(places)
     texts = saved(
-        docs.where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("_text_key"))
-        .join(places, ["doc_id", "_text_key"]).select("node", "text"),
+        docs.where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("_llm_text"))
+        .join(places, ["doc_id", "_llm_text"]).select("node", "text"),
         f"{folder}/texts",
     )
     pairs = dealt_pairs(first, folder)
@@ -417,21 +421,21 @@ def linked(docs: DataFrame, percent: int = 85) -> DataFrame:
     found = members.join(saved(ids, f"{folder}/ids"), "top").select("node", "component_id")
     out = sigs.drop("sig").join(found, "node", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "_text_key", "n_shingles", own.alias("component_id"))
+    return out.select("doc_id", "_llm_text", "n_shingles", own.alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept (doc_id = component_id; a null
     doc_id is kept) for every row."""
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return linked(docs, percent).withColumn("kept", kept).drop("_text_key")
+    return linked(docs, percent).withColumn("kept", kept).drop("_llm_text")
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of docs that are the first of their component, all columns."""
     folder = workdir(docs.sparkSession)
     gone = linked(docs.select("doc_id", "text"), percent).where("doc_id <> component_id")
-    gone = saved(gone.select("doc_id", F.col("_text_key")).distinct(), f"{folder}/gone")
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
+    gone = saved(gone.select("doc_id", F.col("_llm_text")).distinct(), f"{folder}/gone")
+    keyed = docs.withColumn("_llm_text", F.xxhash64("text"))
     out = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_KEYS else gone
-    return keyed.join(out, ["doc_id", "_text_key"], "left_anti").select(docs.columns)
+    return keyed.join(out, ["doc_id", "_llm_text"], "left_anti").select(docs.columns)

@@ -70,13 +70,13 @@ def test_components_equal_brute_force(spark, monkeypatch, region, groups, copies
 
 def test_one_of_each_group_stays(spark):
     rows = _corpus(4, 4, 6)
-    docs = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], "doc_id long, text string, _text_key string, kept int")
-    out = forest.without_near_duplicates(docs.drop("_text_key"), 80)
-    assert out.columns == ["doc_id", "text", "kept"]
+    docs = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], "doc_id long, text string, node string, kept int")
+    out = forest.without_near_duplicates(docs, 80)
+    assert out.columns == docs.columns
     expect = [d for d, _, c in brute(rows, 80) if d is None or d == c]
     key = lambda x: (x is None, x)
     assert sorted((r.doc_id for r in out.collect()), key=key) == sorted(expect, key=key)
-    assert forest.without_near_duplicates(docs.limit(0).drop("_text_key")).count() == 0
+    assert forest.without_near_duplicates(docs.limit(0)).count() == 0
 
 
 def test_long_text_and_lonely_rows(spark):
