@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from cadence.llm.common import with_arrays
 
 END = "</w>"
-MAX_REMEMBERED = 150_000
+MAX_REMEMBERED = 400_000
 NO_MERGE = 1 << 40
 # Fixed values of the vocabulary's format: its pre-tokens and its space rule.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
