@@ -20,13 +20,24 @@ they are compared, and dealt over as many tasks as they need. Null text: no line
 is identified by doc_id and text; rows equal in both count as one occurrence
 and both stay. Null doc_ids sort first. All columns are kept; columns named
 n_lines or n_removed are replaced.
+
+:func:`dedup_lines` is that method. It needs a boundary inside a passage and
+compares with one partner. :func:`dedup_passages` needs neither: a line goes if
+it lies in a stretch of ``least_chars`` characters or more that stands earlier
+in the corpus, whatever its number of lines. It looks up the shortest runs of
+lines with that many characters, one from every line on and one back from every
+line: they cover each such stretch. Only hashes of runs are shuffled, first for
+their counts, then those that occur again. Blank lines inside a run do not
+count. Runs are equal when 128 bits of their hashes are.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cadence.llm.common import KEY, pruned, saved, workdir
@@ -35,6 +46,11 @@ LEAST_CHARS = 60
 CUT = "\x01"
 #: Occurrences of a boundary that one task compares.
 DEAL = 1000
+ENDS = ("\n", ". ", ", ")
+#: Line ends of :func:`dedup_passages`.
+ALL_ENDS = (*ENDS, "! ", "? ", "; ", "\u3002", "\uff01", "\uff1f")
+#: Hashes of repeated runs that may be broadcast (16 bytes each); beyond, they are joined by a shuffle.
+MAX_BROADCAST_RUNS = 500_000
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -42,16 +58,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def pieces(text: Column) -> Column:
+def pieces(text: Column, ends: tuple[str, ...] = ENDS) -> Column:
     """The text in lines that still have their ends: joined, they are the text."""
     marked = text
-    for end in ("\n", ". ", ", "):
+    for end in ends:
         marked = F.replace(marked, F.lit(end), F.lit(end + CUT))
-    return F.when(F.instr(text, CUT) == 0, F.split(marked, CUT)).otherwise(F.split(text, r"(?<=\n)|(?<=[.,] )"))
+    after = "|".join(f"(?<={re.escape(end)})" for end in ends)
+    return F.when(F.instr(text, CUT) == 0, F.split(marked, CUT)).otherwise(F.split(text, after))
 
 
-def lines(text: Column) -> Column:
-    return F.transform(pieces(text), lambda p: F.btrim(p, F.lit(" \t\r\n")))
+def lines(text: Column, ends: tuple[str, ...] = ENDS) -> Column:
+    return F.transform(pieces(text, ends), lambda p: F.btrim(p, F.lit(" \t\r\n")))
 
 
 def row_key(docs: DataFrame) -> Column:
@@ -141,18 +158,104 @@ def dedup_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     folder = workdir(docs.sparkSession)
     docs = docs.drop("n_lines", "n_removed")
     gone = saved(removals(docs, folder, least_chars), f"{folder}/ranges")
+    cut = F.col("_llm_ranges")
+    stays = lambda p: F.filter(p, lambda x, i: ~F.exists(cut, lambda q: (q["begin"] <= i) & (i < q["end"])))
+    return _without(docs, gone, ENDS, stays)
+
+
+def _without(docs: DataFrame, gone: DataFrame, ends: tuple[str, ...], stays: Callable[[Column], Column]) -> DataFrame:
+    """docs without the ranges of ``gone``; ``stays`` gives the pieces that stay."""
     keyed = docs.withColumn(KEY, row_key(docs))
     n = gone.count()
-    stays = lambda p, ranges: F.filter(p, lambda x, i: ~F.exists(ranges, lambda q: (q["begin"] <= i) & (i < q["end"])))
-    own, cut = F.col("_llm_pieces"), F.col("_llm_ranges")
     changed = (
         pruned(keyed, gone.select(KEY), n, "left_semi").join(gone, KEY)
-        .withColumn("_llm_pieces", pieces(F.col("text"))).withColumn("_llm_stay", stays(own, cut))
+        .withColumn("_llm_pieces", pieces(F.col("text"), ends)).withColumn("_llm_stay", stays(F.col("_llm_pieces")))
         .withColumn("text", F.array_join("_llm_stay", ""))
         .withColumn("n_lines", F.size("_llm_pieces")).withColumn("n_removed", F.size("_llm_pieces") - F.size("_llm_stay"))
     )
     same = pruned(keyed, gone.select(KEY), n, "left_anti").withColumn(
-        "n_lines", F.coalesce(F.array_size(pieces(F.col("text"))), F.lit(0))
+        "n_lines", F.coalesce(F.array_size(pieces(F.col("text"), ends)), F.lit(0))
     ).withColumn("n_removed", F.lit(0))
     columns = [*docs.columns, "n_lines", "n_removed"]
     return same.select(columns).unionByName(changed.select(columns))
+
+
+def shortest(sizes: Column, least: int) -> Column:
+    """For each element, how many from it on first reach ``least`` in sum; null: not up to the end."""
+    last = lambda i: F.aggregate(
+        F.slice(sizes, i + 1, F.lit(least)),
+        F.struct(F.lit(0).alias("s"), F.lit(0).alias("k")),
+        lambda a, x: F.when(a["s"] >= least, a).otherwise(F.struct((a["s"] + x).alias("s"), (a["k"] + 1).alias("k"))),
+        lambda a: F.when(a["s"] >= least, a["k"]),
+    )
+
+    def reach(i: Column) -> Column:
+        total, found = F.get(sizes, i), None
+        for k in range(1, 7):
+            found = F.when(total >= least, k) if found is None else found.when(total >= least, k)
+            total = total + F.get(sizes, i + k)
+        return found.when(F.size(sizes) - i > 6, last(i))
+
+    return F.transform(sizes, lambda x, i: reach(i))
+
+
+def runs(own: Column, least: int) -> Column:
+    """Array of (begin, end, code, proof): the shortest runs of lines with
+    ``least`` characters, from every line on and back from every line."""
+
+    def described(keep: Column, ls: Column, n: Column) -> Column:
+        on = F.transform(shortest(n, least), lambda k, i: F.struct(i.alias("at"), k.alias("k")))
+        back = F.transform(shortest(F.reverse(n), least), lambda k, i: F.struct((F.size(n) - i - k).alias("at"), k.alias("k")))
+        each = F.array_distinct(F.filter(F.concat(on, back), lambda r: r["k"].isNotNull()))
+
+        def named(r: Column) -> Column:
+            text = F.slice(ls, r["at"] + 1, r["k"])
+            return F.struct(
+                keep[r["at"]].alias("begin"), (keep[r["at"] + r["k"] - 1] + 1).alias("end"),
+                F.xxhash64(text).alias("code"), F.xxhash64(F.lit(1), text).alias("proof"),
+            )
+
+        return F.transform(each, named)
+
+    full = lambda a: F.filter(F.transform(a, lambda x, i: F.struct(i.alias("i"), x.alias("l"))), lambda r: r["l"] != "")
+    split = lambda f: let(F.transform(f, lambda r: F.length(r["l"])), lambda n: described(f["i"], f["l"], n))
+    return let(own, lambda a: let(full(a), split))
+
+
+def repeated_lines(docs: DataFrame, folder: str, least_chars: int) -> DataFrame:
+    """The key and the ranges (array of begin, end: line numbers; sorted and apart) to remove."""
+    base = docs.select("doc_id", "text", row_key(docs).alias(KEY)).where("text is not null")
+    base = base.select("doc_id", KEY, runs(lines(F.col("text"), ALL_ENDS), least_chars).alias("r"))
+    counts = base.select(F.explode("r.code").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    again = saved(counts.where("n > 1"), f"{folder}/again")
+    few = F.broadcast(again) if again.count() <= MAX_BROADCAST_RUNS else again
+    met = saved(base.select("doc_id", KEY, F.inline("r")).join(few, "code"), f"{folder}/met")
+    deals = F.ceil(F.col("n") / DEAL)
+    first = (
+        met.groupBy("code", "proof").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("own"), F.min(F.struct("doc_id", "begin", KEY)).alias("f"))
+        .where("own > 1")
+        .select("code", "proof", "f", F.explode(F.sequence(F.lit(0).cast("long"), deals - 1)).alias("deal"))
+    )
+    later = met.withColumn("deal", F.pmod(F.xxhash64(KEY, "begin"), deals)).join(first, ["code", "proof", "deal"])
+    later = later.where((F.col("begin") != F.col("f.begin")) | (F.col(KEY) != F.col(f"f.{KEY}"))).select(KEY, "begin", "end").distinct()
+    order = Window.partitionBy(KEY).orderBy("begin", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce((F.col("begin") > before).cast("int"), F.lit(1))
+    return (
+        later.withColumn("opens", opens).withColumn("part", F.sum("opens").over(order))
+        .groupBy(KEY, "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+        .groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("_llm_ranges"))
+    )
+
+
+def dedup_passages(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """As :func:`dedup_lines`, without every repeated passage of whole lines
+    that has ``least_chars`` characters, in all places but its first."""
+    folder = workdir(docs.sparkSession)
+    docs = docs.drop("n_lines", "n_removed")
+    gone = saved(repeated_lines(docs, folder, least_chars), f"{folder}/ranges")
+    cut = F.col("_llm_ranges")
+    stays = lambda p: F.flatten(F.zip_with(
+        F.concat(F.array(F.lit(0)), cut["end"]), F.concat(cut["begin"], F.array(F.size(p))), lambda a, b: F.slice(p, a + 1, b - a)
+    ))
+    return _without(docs, gone, ALL_ENDS, stays)
