@@ -15,10 +15,15 @@ fewer than ``LITERALS`` literal words are not used (nor counted), so an item mad
 placeholders only matches nothing. Null texts and null item ids match nothing.
 Rows are identified by doc_id and text (equal rows give one result; a null
 doc_id is a document like any other); items by item_id and text.
+
+:func:`contaminated` is that method. :func:`leaked`, which the pipeline uses,
+adds a reading in which an inconsistent slot costs only the windows that hold it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +63,11 @@ def template_words(text: Column) -> Column:
     return _words(F.regexp_replace(measured, " [0-9][^ ]*", f" {NUMBER}"))
 
 
+#: How a text is read: the words said, and the template of as many words.
+View = tuple[Callable[[Column], Column], Callable[[Column], Column]]
+TYPED: View = (raw_words, template_words)
+
+
 def anchor_codes(words: Column) -> Column:
     """A hash of each run of four words (none for shorter arrays), from hashes
     of two, so each word is read once."""
@@ -72,12 +82,12 @@ def literals(window: Column) -> Column:
     return F.size(F.filter(window, lambda w: ~w.isin(NAME, NUMBER, UNIT, "")))
 
 
-def benchmark_windows(items: DataFrame) -> DataFrame:
+def benchmark_windows(items: DataFrame, view: View = TYPED) -> DataFrame:
     """item_id, _item, item_pos, size, template, fillers, n_windows, offset
     (of the anchor in the window) and code (of the anchor)."""
     words = (
         items.where("item_id is not null and text is not null").select("item_id", "text").distinct()
-        .select("item_id", F.xxhash64("item_id", "text").alias("_item"), raw_words(F.col("text")).alias("r"), template_words(F.col("text")).alias("t"))
+        .select("item_id", F.xxhash64("item_id", "text").alias("_item"), view[0](F.col("text")).alias("r"), view[1](F.col("text")).alias("t"))
     )
     size = F.least(F.size("t"), F.lit(WINDOW))
     each = (
@@ -96,12 +106,12 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
     )
 
 
-def matches(docs: DataFrame, items: DataFrame, most: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, most: int = MAX_BROADCAST_WINDOWS, view: View = TYPED) -> DataFrame:
     """Word-for-word equal template windows: doc_id, _key, pos, item_id, _item,
     item_pos, n_windows, template, fillers (of the item), said (of the document)."""
-    known = benchmark_windows(items)
+    known = benchmark_windows(items, view)
     base = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias(KEY)).where("text is not null").select(
-        "doc_id", KEY, "text", template_words(F.col("text")).alias("t")
+        "doc_id", KEY, "text", view[1](F.col("text")).alias("t")
     )
     coded = base.withColumn("c", anchor_codes(F.col("t")))
     if known.count() <= most:
@@ -112,21 +122,24 @@ def matches(docs: DataFrame, items: DataFrame, most: int = MAX_BROADCAST_WINDOWS
     return (
         hit.withColumn("pos", F.col("spot") - F.col("offset"))
         .where(F.expr("CASE WHEN pos >= 0 THEN slice(t, pos + 1, size) = template ELSE false END"))
-        .withColumn("r", raw_words(F.col("text"))).withColumn("said", F.expr("slice(r, pos + 1, size)"))
+        .withColumn("r", view[0](F.col("text"))).withColumn("said", F.expr("slice(r, pos + 1, size)"))
         .select("doc_id", KEY, "pos", "item_id", "_item", "item_pos", "n_windows", "template", "fillers", "said")
     )
 
 
+def _slots() -> Column:
+    return F.filter(
+        F.arrays_zip("template", "fillers", "said"),
+        lambda s: s["template"].isin(NAME, NUMBER, UNIT) | (s["template"] == ""),
+    )
+
+
 def contaminated(docs: DataFrame, items: DataFrame, cover: float = COVER, most: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
     """One row per contaminated (document, item): doc_id, item_id, _key,
     windows (matched in consistent alignments), n_windows, slots (distinct
     fillers in matched windows), changed (slots with another filler)."""
-    slots = F.filter(
-        F.arrays_zip("template", "fillers", "said"),
-        lambda s: s["template"].isin(NAME, NUMBER, UNIT) | (s["template"] == ""),
-    )
     aligned = (
-        matches(docs, items, most).withColumn("slots", slots)
+        matches(docs, items, most).withColumn("slots", _slots())
         .groupBy("doc_id", KEY, "item_id", "_item", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift"))
         .agg(F.collect_set("item_pos").alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     )
@@ -142,7 +155,38 @@ def contaminated(docs: DataFrame, items: DataFrame, cover: float = COVER, most:
     )
 
 
+def covered(docs: DataFrame, items: DataFrame, view: View, cover: float = COVER, most: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
+    """doc_id, item_id, _key of documents with ``cover`` of an item's windows. A changed slot that is not
+    consistent in its alignment costs the windows that hold it, not the others."""
+    found = matches(docs, items, most, view).withColumn("slots", _slots())
+    aligned = found.groupBy("doc_id", KEY, "item_id", "_item", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+        F.collect_set(F.struct("item_pos", "slots")).alias("w"),
+        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("all"),
+    )
+    changed = lambda s: s["fillers"] != s["said"]
+    clash = lambda s, o: (o["template"] == s["template"]) & ((o["fillers"] == s["fillers"]) != (o["said"] == s["said"]))
+    bad = F.filter("all", lambda s: changed(s) & F.exists("all", lambda o: clash(s, o)))
+    places = aligned.withColumn("bad", bad).select(
+        "doc_id", KEY, "item_id", "_item", "n_windows",
+        F.transform(F.filter("w", lambda w: ~F.exists(w["slots"], lambda s: F.array_contains("bad", s))), lambda w: w["item_pos"]).alias("places"),
+    )
+    return (
+        places.groupBy("doc_id", KEY, "item_id", "_item", "n_windows")
+        .agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("windows"))
+        .where(F.col("windows") >= cover * F.col("n_windows")).select("doc_id", "item_id", KEY)
+    )
+
+
+def leaked(docs: DataFrame, items: DataFrame, cover: float = COVER, most: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
+    """doc_id, item_id, _key of documents that an item contaminates in any
+    reading: as :func:`contaminated`, with slots that fit for themselves."""
+    found = contaminated(docs, items, cover, most).select("doc_id", "item_id", KEY)
+    for view in (TYPED,):
+        found = found.unionAll(covered(docs, items, view, cover, most))
+    return found.distinct()
+
+
 def decontaminated(docs: DataFrame, items: DataFrame, cover: float = COVER) -> DataFrame:
     """The rows of docs that no item contaminates, all columns."""
-    bad = saved(contaminated(docs, items, cover).select(KEY).distinct(), f"{workdir(docs.sparkSession)}/bad")
+    bad = saved(leaked(docs, items, cover).select(KEY).distinct(), f"{workdir(docs.sparkSession)}/bad")
     return pruned(docs.withColumn(KEY, F.xxhash64("doc_id", "text")), bad, bad.count(), "left_anti").drop(KEY)
