@@ -80,7 +80,8 @@ def labelled_texts(
     ``labels`` has doc_id and ``label``; ``train`` is a condition on doc_id.
     Repeated label rows count once; null labels are left out. The sampled
     labels are at most about ``most`` rows (a bound, not data size), so they
-    may be broadcast to the scan of the texts.
+    may be broadcast to the scan of the texts. Of a repeated doc_id the least
+    text is taken before anything is collected.
     """
     lab = (
         labels.select("doc_id", F.col(label).alias("_y"))
@@ -90,8 +91,8 @@ def labelled_texts(
     picked = bounded_sample(lab, "doc_id", most)
     got = (
         docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-        .join(F.broadcast(picked), "doc_id").select("doc_id", "text", "_y").toPandas()
-        .sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
+        .join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("_y").alias("_y"))
+        .toPandas().sort_values("doc_id")
     )
     return got.text.tolist(), got._y.to_numpy()
 

@@ -225,12 +225,12 @@ def star_pairs(stars: DataFrame, known: DataFrame, percent: int) -> DataFrame:
 
 
 def dealt_regions(small: DataFrame, dense: DataFrame, folder: str) -> DataFrame:
-    """key, t, node, size, sketch, comp, role, main: who meets whom in a task.
+    """key, t, node, size, comp, role, main: who meets whom in a task.
 
     A node of role 1 is compared with all of role 0 under its key. In a small
     region all nodes are both; in a dense one, ``main`` is the largest
     component, its blocks have role 0 and the nodes outside of it role 1."""
-    columns = ["key", "t", "node", "size", "sketch", "comp", "role", "crowded", "main"]
+    columns = ["key", "t", "node", "size", "comp", "role", "crowded", "main"]
     tally = dense.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("c"))
     tally = saved(
         tally.groupBy("region").agg(
@@ -253,17 +253,20 @@ def dealt_regions(small: DataFrame, dense: DataFrame, folder: str) -> DataFrame:
 
 def crossing(rows: DataFrame, percent: int) -> DataFrame:
     """(key, x, ys): likely partners of x in other components. rows: see
-    :func:`dealt_regions`. A pair is reported in the first tree that has it."""
+    :func:`dealt_regions`, with sig for the sketch. A pair is reported in the
+    first tree that has it: where the whole first-depth prefix is the same."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, held = None, None
         for part in parts:
             key, role, node, size, comp, t = (part[c].to_numpy() for c in ("key", "role", "node", "size", "comp", "t"))
-            main, crowded, marks = part.main.to_numpy(), part.crowded.to_numpy(), _marks(part.sketch)
+            main, crowded = part.main.to_numpy(), part.crowded.to_numpy()
+            sigs = np.frombuffer(b"".join(part.sig), np.uint8).reshape(-1, HASHES, 4)
+            marks, trunk = np.ascontiguousarray(sigs[:, :, 3]), sigs.reshape(-1, TREES, 4 * STEP)
             edge = np.flatnonzero((np.diff(key) != 0) | (np.diff(role) != 0)) + 1
             got = []
             for s, e in zip([0, *edge.tolist()], [*edge.tolist(), len(key)], strict=True):
-                own = (node[s:e], size[s:e], comp[s:e], marks[s:e])
+                own = (node[s:e], size[s:e], comp[s:e], marks[s:e], trunk[s:e])
                 if role[s] == 0:
                     same = now == key[s] and held is not None
                     held = tuple(np.concatenate(x) for x in zip(held, own, strict=True)) if same else own
@@ -277,8 +280,8 @@ def crossing(rows: DataFrame, percent: int) -> DataFrame:
                     ok &= (100 * less >= percent * more) & (comp[a:b, None] != held[2])
                     ok &= (crowded[a:b, None] & (held[2] == main[a:b, None])) | (node[a:b, None] < held[0])
                     i, j = np.nonzero(ok)
-                    trees = same[i, j].reshape(-1, TREES, STEP).all(-1)
-                    new = trees.argmax(1) >= t[a:b][i]
+                    trees = (trunk[a:b][i] == held[4][j]).all(-1)
+                    new = trees.argmax(1) == t[a:b][i]
                     i, j = i[new], j[new]
                     for k in np.unique(i):
                         got.append((key[a], node[a + k], held[0][j[i == k]]))
@@ -405,7 +408,7 @@ def linked(docs: DataFrame, percent: int = 85) -> DataFrame:
     meeting = dealt_regions(
         saved(part_of(inside.where("depth = 0").drop("depth")), f"{folder}/near"), saved(part_of(crowd), f"{folder}/far"), folder
     )
-    across = saved(crossing(meeting, percent), f"{folder}/crossing")
+    across = saved(crossing(meeting.join(nodes.select("node", "sig"), "node"), percent), f"{folder}/crossing")
     held = meeting.where("role = 0").select("key", F.col("node").alias("y"))
     held = held.join(saved(across.select("key").distinct(), f"{folder}/keys"), "key", "left_semi")
     more = confirmed(across, held, texts, percent)

@@ -17,7 +17,8 @@ Rows are identified by doc_id and text (equal rows give one result; a null
 doc_id is a document like any other); items by item_id and text.
 
 :func:`contaminated` is that method. :func:`leaked`, which the pipeline uses,
-adds a reading in which an inconsistent slot costs only the windows that hold it.
+adds two readings of a text. The first has the same slots. In the second all words are literal, in lower case, so a copy in another case meets its item. In both, an
+inconsistent slot costs only the windows that hold it.
 """
 
 from __future__ import annotations
@@ -63,9 +64,15 @@ def template_words(text: Column) -> Column:
     return _words(F.regexp_replace(measured, " [0-9][^ ]*", f" {NUMBER}"))
 
 
+def folded_words(text: Column) -> Column:
+    """All words as they are, in lower case."""
+    return _words(F.lower(_plain(text)))
+
+
 #: How a text is read: the words said, and the template of as many words.
 View = tuple[Callable[[Column], Column], Callable[[Column], Column]]
 TYPED: View = (raw_words, template_words)
+FOLDED: View = (folded_words, folded_words)
 
 
 def anchor_codes(words: Column) -> Column:
@@ -179,9 +186,10 @@ def covered(docs: DataFrame, items: DataFrame, view: View, cover: float = COVER,
 
 def leaked(docs: DataFrame, items: DataFrame, cover: float = COVER, most: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
     """doc_id, item_id, _key of documents that an item contaminates in any
-    reading: as :func:`contaminated`, with slots that fit for themselves."""
+    reading: as :func:`contaminated`, with slots that fit for themselves, or
+    word by word in any case."""
     found = contaminated(docs, items, cover, most).select("doc_id", "item_id", KEY)
-    for view in (TYPED,):
+    for view in (TYPED, FOLDED):
         found = found.unionAll(covered(docs, items, view, cover, most))
     return found.distinct()
 

@@ -19,3 +19,9 @@ def test_one_inconsistent_slot_costs_its_windows_only(spark):
     mixed = QUESTION.replace("Alice", "Maria", 1)
     equal = QUESTION.replace(" 5 ", " 12 ")  # two numbers become one value
     assert _leaked(spark, [mixed, equal, CLEAN], [QUESTION]) == {(0, 0), (1, 0)}
+
+
+def test_another_case(spark):
+    docs = [f"Intro. {QUESTION.upper()} Outro.", f"intro {QUESTION.lower()}", CLEAN, CLEAN.upper()]
+    assert _leaked(spark, docs, [QUESTION]) == {(0, 0), (1, 0)}
+    assert _leaked(spark, docs, [QUESTION], most=0) == {(0, 0), (1, 0)}
