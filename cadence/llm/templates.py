@@ -17,7 +17,10 @@ Rows are identified by doc_id and text (equal rows give one result; a null
 doc_id is a document like any other); items by item_id and text.
 
 :func:`contaminated` is that method. :func:`leaked`, which the pipeline uses,
-adds two readings of a text. The first has the same slots. In the second all words are literal, in lower case, so a copy in another case meets its item. In both, an
+adds two readings of a text. In the first, a whole value is one slot: a number
+with its points and commas, a name of several words, a number without the unit
+written at it; other words are in lower case. In the second all words are
+literal, in lower case, so a copy in another case meets its item. In both, an
 inconsistent slot costs only the windows that hold it.
 """
 
@@ -32,6 +35,7 @@ from cadence.llm.chunks import let
 from cadence.llm.common import KEY, pruned, saved, workdir
 
 WINDOW, ANCHOR, LITERALS, COVER = 8, 4, 4, 0.5
+JOINT = "\x02"
 NAME, NUMBER, UNIT = "<name>", "<num>", "<unit>"
 #: Benchmark windows that may be broadcast (about 1 kB each at most); beyond, the hashes are joined by a shuffle.
 MAX_BROADCAST_WINDOWS = 50_000
@@ -64,6 +68,30 @@ def template_words(text: Column) -> Column:
     return _words(F.regexp_replace(measured, " [0-9][^ ]*", f" {NUMBER}"))
 
 
+def _joined(text: Column) -> Column:
+    """The text with what is one value in one word: inner points, commas and
+    slashes of a number, and (as they begin with a capital) names of several words."""
+    number = F.regexp_replace(F.translate(text, JOINT, " "), r"(?<=[0-9])[.,/](?=[0-9])", JOINT)
+    return F.regexp_replace(number, r"(?<![\p{L}\p{N}])(\p{Lu}[\p{L}\p{N}]*)[ \t\r\n]+(?=\p{Lu})", f"$1{JOINT}")
+
+
+def _whole(text: Column) -> Column:
+    """The words of :func:`_joined`, units split off their numbers, with one blank before each."""
+    plain = F.concat(F.lit(" "), F.btrim(F.regexp_replace(_joined(text), rf"[^\p{{L}}\p{{N}}{JOINT}]+", " "), F.lit(" ")))
+    return F.regexp_replace(plain, f"(?<= )([0-9][0-9{JOINT}]*)({'|'.join(UNITS)})(?![^ ])", "$1 $2")
+
+
+def whole_words(text: Column) -> Column:
+    return _words(_whole(text))
+
+
+def whole_template(text: Column) -> Column:
+    """As :func:`template_words` of :func:`whole_words`, other words in lower case."""
+    named = F.regexp_replace(_whole(text), r" \p{Lu}[^ ]*", f" {NAME}")
+    measured = F.regexp_replace(named, f" [0-9][^ ]* (?:{'|'.join(UNITS)})(?![^ ])", f" {NUMBER} {UNIT}")
+    return _words(F.lower(F.regexp_replace(measured, " [0-9][^ ]*", f" {NUMBER}")))
+
+
 def folded_words(text: Column) -> Column:
     """All words as they are, in lower case."""
     return _words(F.lower(_plain(text)))
@@ -72,6 +100,7 @@ def folded_words(text: Column) -> Column:
 #: How a text is read: the words said, and the template of as many words.
 View = tuple[Callable[[Column], Column], Callable[[Column], Column]]
 TYPED: View = (raw_words, template_words)
+WHOLE: View = (whole_words, whole_template)
 FOLDED: View = (folded_words, folded_words)
 
 
@@ -186,10 +215,10 @@ def covered(docs: DataFrame, items: DataFrame, view: View, cover: float = COVER,
 
 def leaked(docs: DataFrame, items: DataFrame, cover: float = COVER, most: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
     """doc_id, item_id, _key of documents that an item contaminates in any
-    reading: as :func:`contaminated`, with slots that fit for themselves, or
-    word by word in any case."""
+    reading: as :func:`contaminated`, with whole values as slots, or word by
+    word in any case."""
     found = contaminated(docs, items, cover, most).select("doc_id", "item_id", KEY)
-    for view in (TYPED, FOLDED):
+    for view in (WHOLE, FOLDED):
         found = found.unionAll(covered(docs, items, view, cover, most))
     return found.distinct()
 

@@ -25,3 +25,10 @@ def test_another_case(spark):
     docs = [f"Intro. {QUESTION.upper()} Outro.", f"intro {QUESTION.lower()}", CLEAN, CLEAN.upper()]
     assert _leaked(spark, docs, [QUESTION]) == {(0, 0), (1, 0)}
     assert _leaked(spark, docs, [QUESTION], most=0) == {(0, 0), (1, 0)}
+
+
+def test_a_value_is_one_slot(spark):
+    item = "the shop in Paris sold 50 pens for 3 dollars and Bob paid 60 km of road with 7 coins on that day"
+    other = "the shop in New York sold 1,250 pens for 3.5 dollars and Mary Ann paid 90km of road with 1/2 coins on that day"
+    assert _leaked(spark, [f"So {other}.", f"so {item}.", CLEAN], [item]) == {(0, 0), (1, 0)}
+    assert _leaked(spark, [f"So {item}."], [other]) == {(0, 0)}
