@@ -62,3 +62,15 @@ def test_one_line_and_other_sentence_ends(spark):
     got = _passages(spark, docs)
     assert got[1] == "Own 0 1.\nLast 0 1." and got[3] == "Own 1 1.\nLast 1 1."
     assert got[0] == docs[0][1] and got[2].startswith("Own 1 0.\n") and got[2].endswith(docs[2][1][-95:])
+
+
+def test_later_versions_meet_each_other(spark):
+    """Copies of an edited passage are compared with each other, not only with
+    the first occurrence of a boundary."""
+    rnd = random.Random(3)
+    words = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    base = [words(6) + ".\n" for _ in range(9)]
+    edit = [x if i % 3 else words(6) + ".\n" for i, x in enumerate(base)]
+    docs = [(0, "".join(base)), *((d, f"{words(3)}\n" + "".join(edit) + words(3)) for d in range(1, 5))]
+    got = _passages(spark, docs)
+    assert all(got[d].split("\n") == [docs[d][1].split("\n")[0], docs[d][1].split("\n")[-1]] for d in range(2, 5))
