@@ -21,7 +21,8 @@ adds two readings of a text. In the first, a whole value is one slot: a number
 with its points and commas, a name of several words, a number without the unit
 written at it; other words are in lower case. In the second all words are
 literal, in lower case, so a copy in another case meets its item. In both, an
-inconsistent slot costs only the windows that hold it.
+inconsistent slot costs only the windows that hold it, and ``RUN`` words in a
+row as they are in the item are a leak whatever the item's length.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from cadence.llm.chunks import let
 from cadence.llm.common import KEY, pruned, saved, workdir
 
 WINDOW, ANCHOR, LITERALS, COVER = 8, 4, 4, 0.5
+#: Words in a row that are a leak by themselves, however long the item is.
+RUN = 13
 JOINT = "\x02"
 NAME, NUMBER, UNIT = "<name>", "<num>", "<unit>"
 #: Benchmark windows that may be broadcast (about 1 kB each at most); beyond, the hashes are joined by a shuffle.
@@ -192,11 +195,12 @@ def contaminated(docs: DataFrame, items: DataFrame, cover: float = COVER, most:
 
 
 def covered(docs: DataFrame, items: DataFrame, view: View, cover: float = COVER, most: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
-    """doc_id, item_id, _key of documents with ``cover`` of an item's windows. A changed slot that is not
+    """doc_id, item_id, _key of documents with ``cover`` of an item's windows,
+    or a run of RUN words as they are in the view. A changed slot that is not
     consistent in its alignment costs the windows that hold it, not the others."""
     found = matches(docs, items, most, view).withColumn("slots", _slots())
     aligned = found.groupBy("doc_id", KEY, "item_id", "_item", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
-        F.collect_set(F.struct("item_pos", "slots")).alias("w"),
+        F.collect_set(F.struct("item_pos", F.size("template").alias("size"), "slots")).alias("w"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("all"),
     )
     changed = lambda s: s["fillers"] != s["said"]
@@ -205,11 +209,13 @@ def covered(docs: DataFrame, items: DataFrame, view: View, cover: float = COVER,
     places = aligned.withColumn("bad", bad).select(
         "doc_id", KEY, "item_id", "_item", "n_windows",
         F.transform(F.filter("w", lambda w: ~F.exists(w["slots"], lambda s: F.array_contains("bad", s))), lambda w: w["item_pos"]).alias("places"),
+        F.transform(F.filter("w", lambda w: ~F.exists(w["slots"], changed) & (w["size"] == WINDOW)), lambda w: w["item_pos"]).alias("same"),
     )
+    row = F.exists("same", lambda p: F.size(F.array_intersect("same", F.sequence(p, p + (RUN - WINDOW)))) == RUN - WINDOW + 1)
     return (
-        places.groupBy("doc_id", KEY, "item_id", "_item", "n_windows")
-        .agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("windows"))
-        .where(F.col("windows") >= cover * F.col("n_windows")).select("doc_id", "item_id", KEY)
+        places.withColumn("row", row).groupBy("doc_id", KEY, "item_id", "_item", "n_windows")
+        .agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("windows"), F.max("row").alias("row"))
+        .where((F.col("windows") >= cover * F.col("n_windows")) | F.col("row")).select("doc_id", "item_id", KEY)
     )
 
 

@@ -32,3 +32,10 @@ def test_a_value_is_one_slot(spark):
     other = "the shop in New York sold 1,250 pens for 3.5 dollars and Mary Ann paid 90km of road with 1/2 coins on that day"
     assert _leaked(spark, [f"So {other}.", f"so {item}.", CLEAN], [item]) == {(0, 0), (1, 0)}
     assert _leaked(spark, [f"So {item}."], [other]) == {(0, 0)}
+
+
+def test_a_long_run_of_a_long_item(spark):
+    words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(10) for j in range(10)]
+    item = " ".join(words)
+    docs = ["Own words here " + " ".join(words[40 : 40 + n]) + " and more own words" for n in (12, 13, 30)]
+    assert _leaked(spark, docs, [item]) == {(1, 0), (2, 0)}
