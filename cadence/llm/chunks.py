@@ -196,7 +196,7 @@ def shortest(sizes: Column, least: int) -> Column:
             total = total + F.get(sizes, i + k)
         return found.when(F.size(sizes) - i > 6, last(i))
 
-    return F.transform(sizes, lambda x, i: reach(i))
+    return F.transform(sizes, lambda x, i: reach(i))  # sizes: read at every element, so a let() variable
 
 
 def runs(own: Column, least: int) -> Column:
@@ -204,9 +204,14 @@ def runs(own: Column, least: int) -> Column:
     ``least`` characters, from every line on and back from every line."""
 
     def described(keep: Column, ls: Column, n: Column) -> Column:
-        on = F.transform(shortest(n, least), lambda k, i: F.struct(i.alias("at"), k.alias("k")))
-        back = F.transform(shortest(F.reverse(n), least), lambda k, i: F.struct((F.size(n) - i - k).alias("at"), k.alias("k")))
-        each = F.array_distinct(F.filter(F.concat(on, back), lambda r: r["k"].isNotNull()))
+        # begin and number of lines in one long: distinct hashes those, but compares structs pair by pair
+        packed = lambda at, k: at.cast("long") * (least + 1) + k
+        on = F.transform(shortest(n, least), lambda k, i: packed(i, k))
+        back = F.transform(let(F.reverse(n), lambda r: shortest(r, least)), lambda k, i: packed(F.size(n) - i - k, k))
+        each = F.transform(
+            F.array_distinct(F.filter(F.concat(on, back), lambda r: r.isNotNull())),
+            lambda r: F.struct(F.floor(r / (least + 1)).cast("int").alias("at"), (r % (least + 1)).cast("int").alias("k")),
+        )
 
         def named(r: Column) -> Column:
             text = F.slice(ls, r["at"] + 1, r["k"])
@@ -218,7 +223,8 @@ def runs(own: Column, least: int) -> Column:
         return F.transform(each, named)
 
     full = lambda a: F.filter(F.transform(a, lambda x, i: F.struct(i.alias("i"), x.alias("l"))), lambda r: r["l"] != "")
-    split = lambda f: let(F.transform(f, lambda r: F.length(r["l"])), lambda n: described(f["i"], f["l"], n))
+    sized = lambda keep, ls: let(F.transform(ls, lambda x: F.length(x)), lambda n: described(keep, ls, n))
+    split = lambda f: let(f["i"], lambda keep: let(f["l"], lambda ls: sized(keep, ls)))
     return let(own, lambda a: let(full(a), split))
 
 
