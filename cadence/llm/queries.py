@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and their SQL where there is one."""
+"""The registered queries of the operators, and their SQL where there is one."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import bpe, chat, chunks, crf, forest, html, language, rules, templates, toxicity
+from cadence.llm import bpe, chat, chunks, crf, forest, html, language, packing, rules, search, templates, toxicity, variants
 from cadence.llm.common import in_fold, table
 
 VOCABULARY = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "word_bpe_49k.json")
@@ -74,6 +74,20 @@ def op10_lsh_forest(spark: SparkSession, sf: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def op11_hierarchical_packing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return packing.pack(docs, VOCABULARY, with_ids=False).drop("ids")
+
+
+def op12_presence_mask_search(spark: SparkSession, sf: str) -> DataFrame:
+    docs, items = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark")
+    return search.search(docs, items)
+
+
+def op13_trie_frontier_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.group_variants(variants.count_words(table(spark, sf, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
     "op1_counterfactual_toxicity": op1_counterfactual_toxicity,
     "op2_line_chunk_dedup": op2_line_chunk_dedup,
@@ -85,6 +99,9 @@ QUERIES = {
     "op8_forced_boundary_bpe": op8_forced_boundary_bpe,
     "op9_line_first_rules": op9_line_first_rules,
     "op10_lsh_forest": op10_lsh_forest,
+    "op11_hierarchical_packing": op11_hierarchical_packing,
+    "op12_presence_mask_search": op12_presence_mask_search,
+    "op13_trie_frontier_variants": op13_trie_frontier_variants,
 }
 
 
@@ -218,9 +235,74 @@ def oracle_sql() -> dict[str, str]:
             )
             SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
             FROM sizes JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) USING (doc_id)""",
+        "op12_presence_mask_search": r"""
+            WITH found AS (
+                SELECT doc_id, regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+            ), corpus AS (
+                SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM found WHERE len(t) > 0
+            ), asked AS (
+                SELECT DISTINCT item_id, unnest(regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+            ), counted AS (
+                SELECT doc_id, len(t) AS n, unnest(t) AS term FROM found
+            ), tf AS (
+                SELECT doc_id, n, term, count(*) AS tf FROM counted WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+            ), weighed AS (
+                SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+                FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), corpus
+            ), scored AS (
+                SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+                FROM asked JOIN tf USING (term) JOIN weighed USING (term), corpus GROUP BY ALL
+            )
+            SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+            FROM scored WHERE score > 0 QUALIFY rank <= 50""".replace("{lower}", _LOWER),
+        "op13_trie_frontier_variants": r"""
+            WITH RECURSIVE crc AS (
+                SELECT list_transform(range(256), lambda b: list_reduce(
+                    list_prepend(b, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+            ), runs AS (
+                SELECT doc_id, r, count(*) AS k
+                FROM (SELECT doc_id, unnest(regexp_extract_all({lower}, '[A-Za-z\x{C0}-\x{FF}]+')) AS r FROM documents)
+                WHERE length(r) >= 5 GROUP BY ALL
+            ), named AS (
+                SELECT *, hex(encode(doc_id || ':' || r)) AS x FROM runs
+            ), coded AS (
+                SELECT r, k, xor(4294967295, list_reduce(
+                    list_prepend(4294967295, list_transform(range(1, len(x), 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT)),
+                    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+                FROM named, crc
+            ), words AS (
+                SELECT word, sum(k)::BIGINT AS n FROM (
+                    SELECT k, CASE WHEN h % 97 = 0 THEN left(r, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word FROM coded)
+                WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3
+            ), spots AS (
+                SELECT word, unnest(range(length(word))) AS i FROM words
+            ), cut AS (
+                SELECT DISTINCT word, i, left(word, i) || chr(1) || substr(word, i + 2) AS hole, left(word, i) || substr(word, i + 2) AS less FROM spots
+            ), near AS (
+                SELECT a.word, b.word AS other FROM cut a JOIN cut b USING (hole) WHERE a.word <> b.word
+                UNION SELECT c.word, w.word FROM cut c JOIN words w ON w.word = c.less
+                UNION SELECT w.word, c.word FROM cut c JOIN words w ON w.word = c.less
+            ), best AS (
+                SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near
+                FROM near JOIN words o ON o.word = other
+                QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) = 1
+            ), judged AS (
+                SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, other_n >= 2 * w.n AS is_form, other, other_n FROM words w LEFT JOIN best USING (word)
+            ), forms AS (
+                SELECT word, CASE WHEN is_form THEN other END AS form, n, n_near, CASE WHEN is_form THEN other_n END AS form_n FROM judged
+            ), walk AS (
+                SELECT word, word AS at FROM forms
+                UNION ALL SELECT w.word, f.form FROM walk w JOIN forms f ON f.word = w.at WHERE f.form IS NOT NULL
+            )
+            SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n
+            FROM forms f JOIN walk w USING (word) JOIN forms g ON g.word = w.at WHERE g.form IS NULL""".replace("{lower}", _LOWER),
     }
 
 
+#: A text with A-Z only in lower case.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 def _rules_sql() -> str:
     limits = {k: str(getattr(rules, k)) for k in (
         "SYMBOLS_A_WORD", "SHOUTS_A_WORD", "UPPER_SHARE", "REPEAT_SHARE", "PIPES", "SHORT_WORDS", "LEAST_WORDS", "MOST_REPEATED", "MAX_LOST",
