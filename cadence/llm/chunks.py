@@ -49,8 +49,9 @@ DEAL = 1000
 ENDS = ("\n", ". ", ", ")
 #: Line ends of :func:`dedup_passages`.
 ALL_ENDS = (*ENDS, "! ", "? ", "; ", "\u3002", "\uff01", "\uff1f")
-#: Hashes of repeated runs that may be broadcast (16 bytes each); beyond, they are joined by a shuffle.
-MAX_BROADCAST_RUNS = 500_000
+#: Bits of the set of repeated runs' hashes that is broadcast (as a power of two: 32 MB), and bits a hash.
+MAX_BITS = 28
+BITS_A_HASH = 32
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -199,9 +200,9 @@ def shortest(sizes: Column, least: int) -> Column:
     return F.transform(sizes, lambda x, i: reach(i))  # sizes: read at every element, so a let() variable
 
 
-def runs(own: Column, least: int) -> Column:
-    """Array of (begin, end, code, proof): the shortest runs of lines with
-    ``least`` characters, from every line on and back from every line."""
+def runs(own: Column, least: int, codes_only: bool = False) -> Column:
+    """Array of (begin, end, code, proof), or of the codes: the shortest runs of
+    lines with ``least`` characters, from every line on and back from every line."""
 
     def described(keep: Column, ls: Column, n: Column) -> Column:
         # begin and number of lines in one long: distinct hashes those, but compares structs pair by pair
@@ -215,6 +216,8 @@ def runs(own: Column, least: int) -> Column:
 
         def named(r: Column) -> Column:
             text = F.slice(ls, r["at"] + 1, r["k"])
+            if codes_only:
+                return F.xxhash64(text)
             return F.struct(
                 keep[r["at"]].alias("begin"), (keep[r["at"] + r["k"] - 1] + 1).alias("end"),
                 F.xxhash64(text).alias("code"), F.xxhash64(F.lit(1), text).alias("proof"),
@@ -228,14 +231,37 @@ def runs(own: Column, least: int) -> Column:
     return let(own, lambda a: let(full(a), split))
 
 
+def bit_set(codes: DataFrame, power: int) -> DataFrame:
+    """The lowest ``power`` bits of all codes as a set of bits: (part, words),
+    32,768 bits in each row."""
+    at = F.pmod("code", F.lit(1 << power))
+    word = F.shiftright(at, 6).bitwiseAND(F.lit(511)).cast("int")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(code, {1 << power}) & 63 as int))")
+    words = codes.groupBy(F.shiftright(at, 15).alias("part"), word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    of = words.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("of"))
+    every = F.transform(F.sequence(F.lit(0), F.lit(511)), lambda k: F.coalesce(F.col("of")[k], F.lit(0).cast("long")))
+    return of.select("part", every.alias("words"))
+
+
+def maybe_in(rows: DataFrame, bits: DataFrame, power: int) -> DataFrame:
+    """The rows whose code is in the set, and a few others."""
+    at = F.pmod(rows["code"], F.lit(1 << power))
+    word = bits["words"][F.shiftright(at, 6).bitwiseAND(F.lit(511)).cast("int")]
+    held = F.getbit(word, at.bitwiseAND(F.lit(63)).cast("int")) == 1
+    return rows.join(F.broadcast(bits), (F.shiftright(at, 15) == bits["part"]) & held, "left_semi")
+
+
 def repeated_lines(docs: DataFrame, folder: str, least_chars: int) -> DataFrame:
     """The key and the ranges (array of begin, end: line numbers; sorted and apart) to remove."""
     base = docs.select("doc_id", "text", row_key(docs).alias(KEY)).where("text is not null")
-    base = base.select("doc_id", KEY, runs(lines(F.col("text"), ALL_ENDS), least_chars).alias("r"))
-    counts = base.select(F.explode("r.code").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    own = lines(F.col("text"), ALL_ENDS)
+    counts = base.select(F.explode(runs(own, least_chars, codes_only=True)).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
     again = saved(counts.where("n > 1"), f"{folder}/again")
-    few = F.broadcast(again) if again.count() <= MAX_BROADCAST_RUNS else again
-    met = saved(base.select("doc_id", KEY, F.inline("r")).join(few, "code"), f"{folder}/met")
+    power = min(MAX_BITS, max(15, (BITS_A_HASH * again.count()).bit_length()))
+    bits = saved(bit_set(again, power), f"{folder}/bits")
+    base = base.select("doc_id", KEY, F.inline(runs(own, least_chars)))
+    met = maybe_in(base, bits, power).join(again, "code")
+    met = saved(met, f"{folder}/met")
     deals = F.ceil(F.col("n") / DEAL)
     first = (
         met.groupBy("code", "proof").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("own"), F.min(F.struct("doc_id", "begin", KEY)).alias("f"))

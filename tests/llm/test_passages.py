@@ -36,7 +36,7 @@ def _passages(spark, docs):
     return {r.doc_id: r.text for r in chunks.dedup_passages(spark.createDataFrame(docs, SCHEMA)).collect()}
 
 
-def test_equals_brute_force_on_both_paths(spark, monkeypatch):
+def test_equals_brute_force(spark, monkeypatch):
     rnd = random.Random(5)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 6)))
     line = lambda: " ".join(word() for _ in range(rnd.randint(1, 12))) + rnd.choice([". ", ", ", "! ", "? ", "; ", "\n", "\n\n", "。"])
@@ -50,7 +50,8 @@ def test_equals_brute_force_on_both_paths(spark, monkeypatch):
     expect = brute(docs)
     assert sum(expect[d] != t for d, t in docs) > 20
     assert _passages(spark, docs) == expect
-    monkeypatch.setattr(chunks, "MAX_BROADCAST_RUNS", -1)
+    monkeypatch.setattr(chunks, "MAX_BITS", 15)  # a crowded set of bits
+    monkeypatch.setattr(chunks, "BITS_A_HASH", 1)
     monkeypatch.setattr(chunks, "DEAL", 2)
     assert _passages(spark, docs) == expect
 
@@ -74,3 +75,12 @@ def test_later_versions_meet_each_other(spark):
     docs = [(0, "".join(base)), *((d, f"{words(3)}\n" + "".join(edit) + words(3)) for d in range(1, 5))]
     got = _passages(spark, docs)
     assert all(got[d].split("\n") == [docs[d][1].split("\n")[0], docs[d][1].split("\n")[-1]] for d in range(2, 5))
+
+
+def test_bit_set_holds_all_and_few_others(spark):
+    rows = spark.range(20_000).selectExpr("id", "xxhash64(id) as code")
+    for power, most in ((15, 20_000), (20, 1200)):
+        bits = chunks.bit_set(rows.where("id % 20 = 0"), power)
+        left = {r.id for r in chunks.maybe_in(rows, bits, power).collect()}
+        assert left >= set(range(0, 20_000, 20)) and len(left) < most
+    assert chunks.maybe_in(rows, chunks.bit_set(rows.limit(0), 15), 15).count() == 0
