@@ -61,8 +61,9 @@ SECOND = 1 << 62
 #: White space that only some call so; texts with it are split at the plain rest only.
 _ODD_SPACE = re.compile("[" + "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\n\r") + "]")
 _SPACE = re.compile("[ \t\n\r]+")
-#: A word of letters whose lower case and composition are plain, and marks that are a pre-token of their own.
-_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:]*)")
+#: A word of letters whose lower case and composition are plain, and marks that are a pre-token of their own
+#: (no apostrophe, which may begin one with letters, and no <, which may begin a special token).
+_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\\[-`{-~]*)")
 
 
 class Encoder:
@@ -87,6 +88,19 @@ class Encoder:
         self.slot: dict[str, int] = {"": 0}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.at = np.zeros(1 << 15, np.int64)  # where the ids of a slot begin in flat; one more: where they end
+        self.uses = np.zeros(1 << 15, np.int32)
+
+    def forget_rare(self) -> None:
+        """Forgets the pieces of one use, or half of all if few are of one."""
+        names, n = list(self.slot), len(self.slot)
+        uses = self.uses[:n].copy()
+        uses[0] = np.iinfo(np.int32).max
+        keep = np.flatnonzero(uses > 1)
+        if len(keep) > n // 2:
+            keep = np.sort(np.argsort(-uses, kind="stable")[: n // 2])
+        keep, ids, sizes = keep[1:], self._joined(keep), np.diff(self.at[: n + 1])[keep[1:]]
+        self.forget()
+        self._keep([names[k] for k in keep], ids, sizes)
 
     def _keep(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         first, used = len(self.slot), int(self.at[len(self.slot)])
@@ -94,6 +108,7 @@ class Encoder:
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
         while first + len(names) >= len(self.at):
             self.at = np.concatenate((self.at, np.zeros_like(self.at)))
+            self.uses = np.concatenate((self.uses, np.zeros_like(self.uses)))
         self.flat[used : used + len(ids)] = ids
         self.at[first + 1 : first + 1 + len(names)] = used + np.cumsum(sizes)
         self.slot.update(zip(names, range(first, first + len(names)), strict=True))
@@ -142,13 +157,17 @@ class Encoder:
         """Ids as unsigned 32-bit integers, the end id after them."""
         out = []
         for parts in self.split(text or ""):
-            different = set(parts)
-            if len(self.slot) + len(different) > MAX_REMEMBERED:
+            if len(self.slot) + len(parts) > MAX_REMEMBERED:
+                self.forget_rare()
+            if len(self.slot) + len(parts) > MAX_REMEMBERED:
                 self.forget()
-            slot = self.slot
-            if new := [x for x in different if x not in slot]:
-                self._learn(new)
-            out.append(self._joined(np.fromiter(map(slot.__getitem__, parts), np.int64, len(parts))))
+            slots = np.fromiter(map(self.slot.get, parts, itertools.repeat(-1)), np.int64, len(parts))
+            if len(new := np.flatnonzero(slots < 0)):
+                names = [parts[k] for k in new]
+                self._learn(list(dict.fromkeys(names)))
+                slots[new] = [self.slot[x] for x in names]
+            self.uses[slots] += 1
+            out.append(self._joined(slots))
         return np.concatenate([*out, self.end])
 
 

@@ -12,7 +12,7 @@ from cadence.llm import packing
 from cadence.llm.queries import VOCABULARY
 
 tokenizers = pytest.importorskip("tokenizers")
-ODD = [*"abzAZ09 \n\t'sΣς§İßéÉ漢字🙂ﬁ½²٣\x1c\x85\x00\x0b́\xa0 ", "é", "'re", "'S", "<|endoftext|>", "<|", "Word.", "été!?", "x×y", "ﬀ"]
+ODD = [*"abzAZ09 \n\t'sΣς§İßéÉ漢字🙂ﬁ½²٣\x1c\x85\x00\x0b́\xa0 ", "é", "'re", "'S", "<|endoftext|>", "<|", "Word.", "été!?", "x×y", "ﬀ", "a$%", "B_-", "c|>", "é`~"]
 
 
 @pytest.fixture(scope="module")
