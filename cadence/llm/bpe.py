@@ -28,7 +28,9 @@ from pyspark.sql import types as T
 from cadence.llm.common import with_arrays
 
 END = "</w>"
-MAX_REMEMBERED = 400_000
+#: Words, and fragments of words with cuts, that a worker remembers in each of two generations.
+MAX_WORDS = 120_000
+MAX_FRAGMENTS = 30_000
 NO_MERGE = 1 << 40
 # Fixed values of the vocabulary's format: its pre-tokens and its space rule.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -81,7 +83,9 @@ class Codec:
                 self.joined[x][y] = 1
         self.split = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.words: dict[str, tuple[int, ...]] = {}
+        self.older_words: dict[str, tuple[int, ...]] = {}
         self.fragments: dict[tuple[bytes, bool], tuple[int, ...]] = {}
+        self.older_fragments: dict[tuple[bytes, bool], tuple[int, ...]] = {}
 
     def cut(self, raw: bytes) -> list[bytes]:
         """The fragments between certain cuts."""
@@ -112,9 +116,10 @@ class Codec:
     def remembered(self, raw: bytes, last: bool) -> tuple[int, ...]:
         ids = self.fragments.get((raw, last))
         if ids is None:
-            if len(self.fragments) >= MAX_REMEMBERED:
-                self.fragments.clear()
-            ids = self.fragments[raw, last] = self.fragment(raw, last)
+            if len(self.fragments) >= MAX_FRAGMENTS:
+                self.older_fragments, self.fragments = self.fragments, {}
+            ids = self.older_fragments.get((raw, last)) or self.fragment(raw, last)
+            self.fragments[raw, last] = ids
         return ids
 
     def word(self, word: str) -> tuple[int, ...]:
@@ -146,9 +151,9 @@ class Codec:
                 continue
             ids = self.words.get(p)
             if ids is None:
-                if len(self.words) >= MAX_REMEMBERED:
-                    self.words.clear()
-                ids = self.words[p] = self.word(p)
+                if len(self.words) >= MAX_WORDS:  # what is still in use comes back from the older ones
+                    self.older_words, self.words = self.words, {}
+                ids = self.words[p] = self.older_words.get(p) or self.word(p)
             out.extend(ids)
         return out
 
