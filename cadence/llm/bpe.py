@@ -32,9 +32,8 @@ END = "</w>"
 MAX_WORDS = 120_000
 MAX_FRAGMENTS = 30_000
 NO_MERGE = 1 << 40
-# Fixed values of the vocabulary's format: its pre-tokens and its space rule.
+# Fixed values of the vocabulary's format: its pre-tokens, which hold no white space.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-SPACES = regex.compile(r"\s+")
 
 
 def byte_letters() -> list[str]:
@@ -129,9 +128,10 @@ class Codec:
         return tuple(i for k, f in enumerate(cuts, 1) for i in self.remembered(f, k == len(cuts)))
 
     def normal(self, text: str) -> str:
-        """Canonical composition, one space for white space, lower case letter
-        by letter (the final form of sigma depends on context, so it is not used)."""
-        text = SPACES.sub(" ", text if text.isascii() else unicodedata.normalize("NFC", text))
+        """Canonical composition, lower case letter by letter (the final form of
+        sigma depends on context, so it is not used). White space only separates
+        pre-tokens, so it stays as it is."""
+        text = text if text.isascii() else unicodedata.normalize("NFC", text)
         return (text.replace("Σ", "σ") if "Σ" in text else text).lower()
 
     def pieces(self, text: str) -> Iterator[str | int]:
@@ -143,23 +143,27 @@ class Codec:
             at = m.end()
         yield from WORDS.findall(self.normal(text[at:]))
 
+    def learned(self, piece: str | int) -> tuple[int, ...]:
+        """The ids of a piece that was not among the words a moment ago."""
+        if isinstance(piece, int):
+            return (piece,)
+        ids = self.words.get(piece)
+        if ids is None:
+            if len(self.words) >= MAX_WORDS:  # what is still in use comes back from the older ones
+                self.older_words, self.words = self.words, {}
+            ids = self.words[piece] = self.older_words.get(piece) or self.word(piece)
+        return ids
+
     def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        for p in self.pieces(text or ""):
-            if isinstance(p, int):
-                out.append(p)
-                continue
-            ids = self.words.get(p)
-            if ids is None:
-                if len(self.words) >= MAX_WORDS:  # what is still in use comes back from the older ones
-                    self.older_words, self.words = self.words, {}
-                ids = self.words[p] = self.older_words.get(p) or self.word(p)
-            out.extend(ids)
-        return out
+        pieces = list(self.pieces(text or ""))
+        found = list(map(self.words.get, pieces))
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            found[k] = self.learned(pieces[k])
+        return list(itertools.chain.from_iterable(found))
 
     def decode(self, ids) -> str:
         """The file names no decoder: tokens stand with one space between."""
-        return " ".join([self.tokens[i] for i in ids])
+        return " ".join(map(self.tokens.__getitem__, ids))
 
 
 _codecs: dict[str, Codec] = {}
@@ -217,7 +221,7 @@ def digests(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFra
         for t in texts:
             ids = own.encode(t)
             count.append(len(ids))
-            by_ids.append(sha(" ".join([own.names[i] for i in ids])))
+            by_ids.append(sha(" ".join(map(own.names.__getitem__, ids))))
             by_text.append(sha(own.decode(ids)))
             if with_ids:
                 lists.append(ids)
