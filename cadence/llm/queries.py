@@ -62,7 +62,7 @@ def op7_crf_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8_forced_boundary_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return bpe.digests(docs, VOCABULARY).drop("text")
+    return bpe.digests(docs, VOCABULARY, without=("text",))
 
 
 def op9_line_first_rules(spark: SparkSession, sf: str) -> DataFrame:

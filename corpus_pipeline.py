@@ -44,7 +44,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of their decoding."""
-    return bpe.digests(docs, VOCABULARY, with_ids=True).drop("text", "n_chars")
+    return bpe.digests(docs, VOCABULARY, with_ids=True, without=("text", "n_chars"))
 
 
 STAGES = [

@@ -46,6 +46,25 @@ def test_cuts_are_certain(both):
     assert cuts > 100
 
 
+def test_blocks_of_texts_and_long_words(both, monkeypatch):
+    _, lib = both
+    monkeypatch.setattr(bpe, "MAX_WORDS", 40)  # generations turn over in each block
+    monkeypatch.setattr(bpe, "TOGETHER", 300)
+    own = bpe.Codec(bpe.load_vocabulary(VOCABULARY))
+    assert own.rising
+    rnd = random.Random(8)
+    letters = "".join(rnd.choice("etaoinshrdlu") for _ in range(4000))
+    texts = ["", None, "<|endoftext|>", "A<|startoftext|><|endoftext|>b", "a" * 4001, "ab" * 900, letters, "漢字" * 500]
+    texts += [" ".join(rnd.choice(ODD) * rnd.randint(1, 3) for _ in range(rnd.randint(0, 30))) for _ in range(300)]
+    want = [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert bpe._encoded(own, texts) == want
+    assert bpe._encoded(own, texts[::-1]) == want[::-1]
+    assert len(own.words.new) + len(own.words.old) <= 400 and max(map(len, map(str, own.words.new))) <= bpe.LONGEST_WORD
+    own.rising = False  # the way of vocabularies that may lower a rank by a merge
+    own.words = bpe.Memory(own.learn)
+    assert bpe._encoded(own, texts) == want
+
+
 def test_columns_nulls_and_empty_table(spark, both):
     own, _ = both
     long = "Thé quick bröwn fox. " * 20_000
@@ -59,3 +78,5 @@ def test_columns_nulls_and_empty_table(spark, both):
     back = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY).collect()
     assert {r.decoded for r in back if r.doc_id == 3} == {"a</w> a</w>"} and {r.decoded for r in back if r.doc_id == 1} == {""}
     assert bpe.digests(docs.limit(0), VOCABULARY).count() == 0
+    less = bpe.digests(docs, VOCABULARY, with_ids=True, without=("text", "doc_id", "absent"))
+    assert less.columns == ["n_tokens", "ids_sha256", "decoded_sha256", "ids"] and sorted(less.toPandas().ids_sha256) == sorted(r.ids_sha256 for r in got)
