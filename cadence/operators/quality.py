@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.timecols import odd_price, parse_utc
@@ -70,15 +70,18 @@ def multiset_diff(left: DataFrame, right: DataFrame, by: str = "event_date") ->
     )
 
 
-def with_reason(raw: DataFrame, time_col: str = "event_time", quarantine_null_keys: bool = False) -> DataFrame:
+def with_reason(
+    raw: DataFrame, time_col: str = "event_time", quarantine_null_keys: bool = False, parsed: Column | None = None
+) -> DataFrame:
     """Add ``reason``: why a row cannot be used (NULL: it can).
 
     Checked in this order: a line that does not fit the schema (where the
     reader kept it), time text that is no time, a price that is no amount of
     money, and with ``quarantine_null_keys`` a NULL time or user. Without it
     rows with a NULL key stay in, and the gate fails their date.
+    ``parsed``: the instant of ``time_col``, if ``raw`` has it as a column.
     """
-    parsed = parse_utc(time_col)
+    parsed = parse_utc(time_col) if parsed is None else parsed
     reason = F.when(F.col(time_col).isNotNull() & parsed.isNull(), F.lit("unparseable event_time"))
     if CORRUPT_COLUMN in raw.columns:
         reason = F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit("unreadable line")).otherwise(reason)

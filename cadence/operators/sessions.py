@@ -67,22 +67,12 @@ def encode_keys(df: DataFrame, cols: Sequence[str]) -> tuple[list[Column], list[
     return exprs, names
 
 
-def session_starts(
-    df: DataFrame,
-    gap_seconds: int = SESSION_GAP_SECONDS,
-    by: Sequence[str] = (),
-    user: str = "user_id",
-    time_col: str = "event_time_utc",
-    bucket_seconds: int = DAY_SECONDS,
-    seeds: DataFrame | None = None,
-) -> DataFrame:
-    """Distinct ``(encoded keys, _s)`` with ``_start``: the session start second.
-
-    Keys are ``(*by, user)`` in the encoded form of :func:`encode_keys`.
-    ``seeds`` (optional) carries state from an earlier run: columns
-    ``*by, user, last_s, start_s`` = last event second already published and
-    the start of its session. Seeds must lie before every new event.
-    """
+def _buckets(
+    df: DataFrame, gap_seconds: int, by: Sequence[str], user: str, time_col: str, bucket_seconds: int, seeds: DataFrame | None
+) -> tuple[list[str], DataFrame, DataFrame]:
+    """The encoded keys, the distinct seconds with what their own bucket tells,
+    and one row per (user, bucket) and seed: ``_first``, ``_last`` and the
+    latest session start that lies in it (``_start_max``)."""
     exprs, keys = encode_keys(df, [*by, user])
     # Both branches below (per-second rows, per-bucket summary) read this one
     # relation with the same predicates, so its shuffle is planned once and
@@ -126,16 +116,35 @@ def session_starts(
                 F.lit(True).alias("_is_seed"),
             )
         )
-    w_user = Window.partitionBy(*keys).orderBy("_first")
-    prev_last = F.lag("_last").over(w_user)
+    prev_last = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_first"))
     first_new = prev_last.isNull() | ((F.col("_first") - prev_last) >= F.lit(gap_seconds))
     start_max = F.coalesce("_seed_start", "_last_brk", F.when(first_new, F.col("_first")))
+    return keys, secs, summary.select("*", first_new.alias("_first_new"), start_max.alias("_start_max"))
+
+
+def session_starts(
+    df: DataFrame,
+    gap_seconds: int = SESSION_GAP_SECONDS,
+    by: Sequence[str] = (),
+    user: str = "user_id",
+    time_col: str = "event_time_utc",
+    bucket_seconds: int = DAY_SECONDS,
+    seeds: DataFrame | None = None,
+) -> DataFrame:
+    """Distinct ``(encoded keys, _s)`` with ``_start``: the session start second.
+
+    Keys are ``(*by, user)`` in the encoded form of :func:`encode_keys`.
+    ``seeds`` (optional) carries state from an earlier run: columns
+    ``*by, user, last_s, start_s`` = last event second already published and
+    the start of its session. Seeds must lie before every new event.
+    """
+    keys, secs, summary = _buckets(df, gap_seconds, by, user, time_col, bucket_seconds, seeds)
+    w_user = Window.partitionBy(*keys).orderBy("_first")
     carry = F.max("_start_max").over(w_user.rowsBetween(Window.unboundedPreceding, -1))
     # the start of the bucket's first second: itself if it opens a session,
     # else the latest start of the earlier buckets (or of the seed)
     summary = (
-        summary.select("*", first_new.alias("_first_new"), start_max.alias("_start_max"))
-        .select(
+        summary.select(
             *keys,
             "_b",
             "_is_seed",
@@ -148,6 +157,24 @@ def session_starts(
     return joined.select(*keys, "_s", F.coalesce("_local_start", "_head").alias("_start"))
 
 
+def last_sessions(
+    df: DataFrame,
+    gap_seconds: int = SESSION_GAP_SECONDS,
+    user: str = "user_id",
+    time_col: str = "event_time_utc",
+    bucket_seconds: int = DAY_SECONDS,
+    seeds: DataFrame | None = None,
+) -> DataFrame:
+    """The seeds that rows after ``df`` need: per user the last second of ``df``
+    and the start of its session (``user, last_s, start_s``).
+
+    The latest start of a user's buckets is that start, so nothing is joined
+    back to the seconds. A user who is only in ``seeds`` keeps the seed."""
+    keys, _, summary = _buckets(df, gap_seconds, (), user, time_col, bucket_seconds, seeds)
+    last = summary.groupBy(*keys).agg(F.max("_last").alias("last_s"), F.max("_start_max").alias("start_s"))
+    return last.select(F.when(~F.col(keys[1]), F.col(keys[0])).alias(user), "last_s", "start_s")
+
+
 # Users with more rows than this take the two-level path; the rest are
 # sessionized with one window per user (a sort group of at most this many rows).
 HOT_ROWS = 5_000_000

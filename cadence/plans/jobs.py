@@ -12,13 +12,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.functions.timecols import epoch_seconds, local_date_text, parse_utc, to_local_clock, with_local_time
+from cadence.functions.timecols import epoch_seconds, local_date_text, to_local_clock
 from cadence.operators import marts as marts_mod
 from cadence.operators.quality import multiset_diff
-from cadence.operators.sessions import HOT_ROWS
+from cadence.operators.sessions import HOT_ROWS, last_sessions
 from cadence.plans import intake
 from cadence.plans.pipeline import transform
-from cadence.schema import LOCAL_ZONE, RAW_COLUMNS, SESSION_GAP_SECONDS
+from cadence.schema import LOCAL_ZONE, SESSION_GAP_SECONDS
 from cadence.session import ensure_utc, scratch_dir
 from cadence.sinks import fs, publish
 from cadence.sources.files import committed_dates, day_paths, read_committed, read_events
@@ -229,21 +229,23 @@ def _one_date(
         raise FileNotFoundError(f"no day folder for {run_date} under {day_root}")
     seeds = seeds_from_published(spark, output, paths[0][-10:], gap_seconds) if lookback is None else None
     folder = f"{scratch_dir(spark).rstrip('/')}/intake-{run_id}"
-    local = local_date_text(to_local_clock(parse_utc("event_time"), zone))
+    local = local_date_text(to_local_clock("event_time_utc", zone))
     try:
         tagged = intake.split(
             read_events(spark, paths[-1], keep_corrupt=True), quarantine_null_keys, outside=local != F.lit(run_date)
         )
-        staged = intake.stage(spark, tagged, folder)
+        staged = intake.stage(spark, tagged, f"{folder}/day")
         if not only_changed:
             _quarantine(staged, f"{output}/_quarantine/{run_id}")
-        rows = staged.valid
         if len(paths) > 1:  # context only: its own runs report and quarantine it
-            context = intake.split(read_events(spark, paths[:-1], keep_corrupt=True), True)
-            rows = rows.unionByName(context.where("reason is null").select(*RAW_COLUMNS).where(local < F.lit(run_date)))
-        silver = transform(rows, zone, gap_seconds, seeds=seeds, hot_rows=hot_rows)
-        # a row without a date stays, and fails the gate
-        silver = silver.where((F.col("event_date") == F.lit(run_date)) | F.col("event_date").isNull())
+            # staged with all columns: whether a line fits the schema shows only if all are read
+            context = intake.split(read_events(spark, paths[:-1], keep_corrupt=True), True, keep=("event_time_utc",))
+            context = intake.stage(spark, context, f"{folder}/context").valid.where(local < F.lit(run_date))
+            seeds = last_sessions(context, gap_seconds, seeds=seeds)
+        # Rows of another date are quarantined, so no date is filtered out of the
+        # result: a filter would reach one session path's input and make its
+        # shuffle another one. A row without a date stays, and fails the gate.
+        silver = transform(staged.valid, zone, gap_seconds, seeds=seeds, hot_rows=hot_rows)
         if only_changed:
             old = read_committed(spark, output, [run_date])
             if multiset_diff(old, silver.select(*old.columns)).where("only_left + only_right > 0").isEmpty():
@@ -263,10 +265,15 @@ def split_daily(
     reason. Rows with a NULL time count as such here; NULL users stay in."""
     folder = f"{scratch_dir(spark).rstrip('/')}/intake-{uuid.uuid4().hex}"
     no_time = F.col("event_time").isNull()
-    tagged = intake.split(read_events(spark, inputs, keep_corrupt=True))
-    tagged = tagged.withColumn("reason", F.coalesce("reason", F.when(no_time, F.lit("null event_time"))))
+    tagged = intake.split(read_events(spark, inputs, keep_corrupt=True), keep=("event_time_utc",))
+    tagged = tagged.withColumns(
+        {
+            "reason": F.coalesce("reason", F.when(no_time, F.lit("null event_time"))),
+            "event_date": local_date_text(to_local_clock("event_time_utc", zone)),
+        }
+    ).drop("event_time_utc")
     staged = intake.stage(spark, tagged, folder)
-    publish.split_daily(with_local_time(staged.valid, zone).select(*RAW_COLUMNS, "event_date"), output)
+    publish.split_daily(staged.valid, output)
     _quarantine(staged, quarantine_path or f"{output}/_quarantine")
     fs.delete(spark, folder)
     return staged

@@ -10,6 +10,7 @@ from cadence.functions.timecols import with_local_time
 from cadence.operators.dedup import dedup_events, duplicate_rate
 from cadence.operators.quality import quarantine_counts, split_valid_invalid
 from cadence.operators.sessions import (
+    last_sessions,
     midnight_sessions,
     session_summary,
     sessionize,
@@ -313,3 +314,21 @@ def dt_text(sec: int) -> str:
     import datetime as _dt
 
     return _dt.datetime.fromtimestamp(sec, _dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S UTC")
+
+
+def test_last_sessions_equal_the_last_session_of_each_user(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice([1, 2, 3, None]), 1_600_000_000 + rnd.randrange(0, 5000)) for _ in range(90)]
+    df = spark.createDataFrame(rows, "user_id long, s long").withColumn("event_time_utc", F.timestamp_seconds("s"))
+    df = df.withColumn("event_type", F.lit("view"))
+    seeds = spark.createDataFrame([(1, 1_599_999_990, 1_599_990_000), (9, 1_599_999_000, 1_599_998_000)], "user_id long, last_s long, start_s long")
+    for gap, bucket, given in ((300, 86400, None), (200, 600, seeds), (4000, 600, seeds)):
+        out = sessionize(df, gap, seeds=given)
+        want = {}
+        for r in out.collect():
+            start = int(r.session_id.split("_")[-1])
+            want[r.user_id] = max(want.get(r.user_id, (0, 0)), (r.s, start))
+        if given is not None:
+            want[9] = (1_599_999_000, 1_599_998_000)
+        got = {r.user_id: (r.last_s, r.start_s) for r in last_sessions(df, gap, bucket_seconds=bucket, seeds=given).collect()}
+        assert got == want, (gap, bucket)

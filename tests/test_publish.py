@@ -8,11 +8,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from cadence.plans import jobs
+from cadence.plans import intake, jobs
 from cadence.plans.pipeline import transform
 from cadence.schema import ACTIVITY, CORRUPT_COLUMN, RAW
 from cadence.sinks import publish
-from cadence.sources.files import committed_dates, read_activity, read_committed
+from cadence.sources.files import committed_dates, read_activity, read_committed, read_events
 from tests.conftest import ev, raw_rows
 
 
@@ -350,3 +350,47 @@ def test_first_day_hole_and_late_rows_equal_backfill(spark, tmp_dir):
     assert {r[0][-10:] for r in publish.show_partitions(spark, table).collect()} == {f"2020-07-0{d}" for d in (2, 3, 4, 5)}
     again = jobs.run_incremental(spark, f"{tmp_dir}/daily2", out, "2020-07-02")
     assert again.republished == []
+
+
+def _plans(monkeypatch):
+    """The optimized plans of what jobs publish from here on."""
+    plans, publish_silver = [], publish.publish_silver
+
+    def seen(spark, silver, *rest, **options):
+        plans.append(silver._jdf.queryExecution().optimizedPlan().toString())
+        return publish_silver(spark, silver, *rest, **options)
+
+    monkeypatch.setattr(publish, "publish_silver", seen)
+    return plans
+
+
+def test_a_day_is_planned_without_text_and_without_a_filter_on_its_date(spark, tmp_dir, monkeypatch):
+    src = _write_csv(spark, _chain_rows(dt.datetime(2020, 7, 1, 15, 0, 0), 60), f"{tmp_dir}/raw")
+    jobs.split_daily(spark, src, f"{tmp_dir}/daily")
+    plans = _plans(monkeypatch)
+    jobs.run_incremental(spark, f"{tmp_dir}/daily", f"{tmp_dir}/silver", "2020-07-03")  # 07-02 is context
+    jobs.run_incremental(spark, f"{tmp_dir}/daily", f"{tmp_dir}/silver", "2020-07-04")
+    assert len(plans) == 2 and " csv" not in plans[0]  # context is parsed once, not once per reader
+    # a filter on the date reaches one session path only, which then has a de-duplication shuffle of its own
+    assert "2020-07-04" not in plans[1]
+
+
+def test_context_lines_that_do_not_fit_the_schema_bridge_no_session(spark, tmp_dir):
+    line = "2020-07-01 14:{} UTC,view,{},2,c,b,1.5,7,s"
+    lines = [line.format("50:00", 1), line.format("54:00", "x1"), line.format("58:00", 1)]  # the bad one is in the gap
+    _lines(f"{tmp_dir}/daily/event_date=2020-07-01/d.csv", *lines)
+    _lines(f"{tmp_dir}/daily/event_date=2020-07-02/d.csv", "2020-07-01 15:01:00 UTC,view,1,2,c,b,1.5,7,s")
+    for i, options in enumerate(({}, {"hot_rows": 0}, {"hot_rows": None}, {"seed": False})):
+        jobs.run_incremental(spark, f"{tmp_dir}/daily", f"{tmp_dir}/out{i}", "2020-07-02", **options)
+        got = read_committed(spark, f"{tmp_dir}/out{i}").collect()
+        assert [r.session_id for r in got] == [f"7_{int(dt.datetime(2020, 7, 1, 14, 58, tzinfo=dt.timezone.utc).timestamp())}"], options
+
+
+def test_intake_keeps_extra_columns_with_the_usable_rows_only(spark, tmp_dir):
+    path = _lines(f"{tmp_dir}/raw.csv", GOOD, *BAD)
+    tagged = intake.split(read_events(spark, path, keep_corrupt=True), keep=("event_time_utc",))
+    staged = intake.stage(spark, tagged, f"{tmp_dir}/staged")
+    assert (staged.input_rows, staged.quarantined_rows) == (5, 4)
+    assert staged.valid.columns == [*RAW.fieldNames(), "event_time_utc"] and staged.valid.count() == 1
+    assert staged.quarantined.columns == intake.QUARANTINE.fieldNames() and staged.quarantined.count() == 4
+    assert not [d for d in os.listdir(f"{tmp_dir}/staged") if "=" in d]  # no partitions: nothing is sorted
